@@ -33,7 +33,9 @@ class Limits:
     # largest vector matrix that may be shipped to every executor
     broadcast_bytes: int = 64 * 1024 * 1024
     # multiply-adds one search task should do
-    work_per_task: float = 4e9
+    work_per_task: float = 5e10
+    # items searched first to learn a score floor per query
+    seed_rows: int = 50_000
     # rows of one side of a (cell, part) group on the routed path
     block_rows: int = 4096
     # postings of one term that may sit under one join key
