@@ -40,6 +40,8 @@ class Limits:
     block_rows: int = 4096
     # postings of one term that may sit under one join key
     postings_per_key: int = 100_000
+    # queries using one term that may sit under one join key
+    queries_per_key: int = 20_000
     # estimated (query, document) pairs up to which BM25 scores them all
     direct_pairs: int = 40_000_000
     # distinct values that may be collected to pin an exact order statistic

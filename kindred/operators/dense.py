@@ -28,7 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from kindred.config import LIMITS, Limits
 from kindred.operators import blocks
 from kindred.operators.topk import rank_by, top_k
-from kindred.session import scratch_path
+from kindred.session import stored
 
 
 @dataclass(frozen=True)
@@ -351,24 +351,23 @@ def promising_cells(k: int, stats: CellStats, slack: float):
 
 
 def _routed_exact(q, i, k, decimals, i_size, limits) -> DataFrame:
-    spark = q.sparkSession
     # copies of a vector share every score, so only the k first ids of each can be hits
     copies = rank_by(i, ["vector"], [F.asc("candidate_id")], k, "copy")
     copies = copies.withColumn("first_id", F.min("candidate_id").over(Window.partitionBy("vector")))
-    copies = _stored(copies, "copies")
+    copies = stored(copies, "copies")
     items = copies.where("copy = 1").select("candidate_id", "vector")
     asked = q.groupBy("vector").agg(F.min("query_id").alias("first_query"))
     queries = asked.select(F.col("first_query").alias("query_id"), "vector", F.lit(float("-inf")).alias("floor"))
-    queries = _stored(queries, "queries")
+    queries = stored(queries, "queries")
 
     n_cells = int(min(4096, max(2, ceil(i_size.rows**0.5))))
     centers = learn_cells(items, n_cells)
-    celled = _stored(assign_cells(items, centers), "cells")
+    celled = stored(assign_cells(items, centers), "cells")
     stats = CellStats.of(celled, len(centers))
     celled = celled.drop("spread")
 
     first = meet_in_cells(route(queries, centers, enough_cells(k, stats.rows)), celled, k, decimals, limits)
-    first = _stored(top_k(first, k), "first")
+    first = stored(top_k(first, k), "first")
     reached = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("reached"))
     floored = queries.join(reached, "query_id", "left").select(
         "query_id", "vector", F.coalesce("reached", "floor").alias("floor")
@@ -388,10 +387,3 @@ def _routed_exact(q, i, k, decimals, i_size, limits) -> DataFrame:
         .join(per_vector, "first_query")
         .select("query_id", "candidate_id", "score", "rank")
     )
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, written to the shared folder so that lost executors cost nothing."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)

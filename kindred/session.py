@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -49,3 +49,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hadoop_path))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written to the shared folder: computed once, and safe if executors are lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
