@@ -18,7 +18,7 @@ def recall_at_k(approximate: DataFrame, exact: DataFrame, k: int) -> DataFrame:
     )
 
 
-def jaccard_at_k(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+def jaccard_at_k(queries: DataFrame, left: DataFrame, right: DataFrame, k: int) -> DataFrame:
     """Per query, shared over all candidates of two top-k lists; 0 when both are empty."""
     sides = (
         left.where(F.col("rank") <= k)
@@ -27,9 +27,12 @@ def jaccard_at_k(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
     )
     # a candidate of both lists occurs twice, one of a single list once
     seen = sides.groupBy("query_id", "candidate_id").agg(F.count(F.lit(1)).alias("lists"))
-    return seen.groupBy("query_id").agg(
+    overlap = seen.groupBy("query_id").agg(
         (F.count_if(F.col("lists") == 2) / F.count(F.lit(1))).alias("jaccard")
     )
+    return queries.select("query_id").join(overlap, "query_id", "left").select(
+        "query_id", F.coalesce("jaccard", F.lit(0.0)).alias("jaccard")
+    )
 
 
 def percentile_summary(df: DataFrame, column: str) -> dict[str, float | None]:

@@ -1,0 +1,6 @@
+"""No streaming operators: there are none to match.
+
+Cleaning, the fitted encoder and vector fusion are stateless projections, so
+``sources.catalogue.clean`` and ``StructuredModel.transform`` also accept a
+streaming DataFrame as they are (see ``tests/test_clean.py``).
+"""
