@@ -31,6 +31,6 @@ def drop_self(ranked: DataFrame, query_id: str = "query_id", item_id: str = "can
     return ranked.where(F.col(query_id) != F.col(item_id))
 
 
-def renumber(ranked: DataFrame, k: int) -> DataFrame:
+def renumber(ranked: DataFrame, k: int, keys: list[str] | tuple = ("query_id",)) -> DataFrame:
     """Close the gaps in the ranks and keep the first k per query."""
-    return rank_by(ranked.withColumnRenamed("rank", "_was"), ["query_id"], [F.asc("_was")], k).drop("_was")
+    return rank_by(ranked.withColumnRenamed("rank", "_was"), list(keys), [F.asc("_was")], k).drop("_was")

@@ -48,18 +48,27 @@ def candidates(
     """(query_id, candidate_id, score, rank), the query product dropped, ranks closed.
 
     Hybrid modes fuse dense and lexical lists and give the fused score; image mode
-    gives the cosine.
+    gives the cosine.  Where ``queries`` has a column ``depth``, none above
+    ``depth``, each query uses lists of its own depth, and the result has that
+    column too.
     """
-    dense = dense_candidates(queries, index, mode, depth, limits)
+    keys = [name for name in ("query_id", "depth") if name in queries.columns]
+
+    def cut(ranked: DataFrame) -> DataFrame:
+        if "depth" not in keys:
+            return ranked
+        return ranked.join(queries.select(*keys), "query_id").where(F.col("rank") <= F.col("depth"))
+
+    ranked = cut(dense_candidates(queries, index, mode, depth, limits))
     if mode in HYBRID_MODES and index.lexical is not None:
-        ranked = rrf(dense, lexical_candidates(queries, index, depth, limits), depth=depth)
-    else:
-        ranked = dense
-    ranked = ranked.select("query_id", "candidate_id", "score", "rank")
-    return renumber(drop_self(ranked), depth)
+        sparse = cut(lexical_candidates(queries, index, depth, limits))
+        ranked = rrf(ranked, sparse, depth=depth, keys=keys)
+        if "depth" in keys:
+            ranked = ranked.where(F.col("rank") <= F.col("depth"))
+    return renumber(drop_self(ranked.select(*keys, "candidate_id", "score", "rank")), depth, keys)
 
 
-def _with_texts(pairs: DataFrame, products: DataFrame, text: Column) -> DataFrame:
+def with_texts(pairs: DataFrame, products: DataFrame, text: Column) -> DataFrame:
     texts = products.select("uniq_id", text.alias("text"))
     left = texts.withColumnsRenamed({"uniq_id": "query_id", "text": "query_text"})
     right = texts.withColumnsRenamed({"uniq_id": "candidate_id", "text": "candidate_text"})
@@ -87,7 +96,7 @@ def _stage_two(
     if mode not in HYBRID_MODES:
         return found.where(F.col("rank") <= n)
     first = found.where(F.col("rank") <= max(RERANK_DEPTH, n)).drop("score")
-    return rerank(_with_texts(first, index.products, text), n, scorer)
+    return rerank(with_texts(first, index.products, text), n, scorer)
 
 
 def recommend(
