@@ -42,8 +42,10 @@ class Limits:
     postings_per_key: int = 100_000
     # queries using one term that may sit under one join key
     queries_per_key: int = 20_000
-    # estimated (query, document) pairs up to which BM25 scores them all
-    direct_pairs: int = 40_000_000
+    # (query, document) pairs one join task should give
+    pairs_per_task: int = 5_000_000
+    # (query, document) pairs up to which BM25 scores them all by a join
+    direct_pairs: int = 1_000_000
     # distinct values that may be collected to pin an exact order statistic
     collect_values: int = 20_000
 

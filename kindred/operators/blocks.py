@@ -68,6 +68,39 @@ def best_columns(
     return columns, scores
 
 
+def best_in_row(scores: np.ndarray, k: int, decimals: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best columns with a score other than 0 of one query, best first, and their scores."""
+    unit = 10.0**decimals
+    rounded = np.floor(scores * unit + 0.5)
+    columns = np.flatnonzero(rounded)
+    n = len(scores)
+    keys = rounded[columns].astype(np.int64) * n + (n - 1 - columns)
+    if len(columns) > k:
+        top = np.argpartition(keys, len(keys) - k)[len(keys) - k :]
+        columns, keys = columns[top], keys[top]
+    columns = columns[np.argsort(-keys)]
+    return columns, rounded[columns] / unit
+
+
+def ragged_hits(
+    query_ids: pa.Array,
+    item_ids: pa.Array,
+    columns: list[np.ndarray],
+    scores: list[np.ndarray],
+    lengths: list[int],
+    schema: pa.Schema,
+) -> pa.RecordBatch:
+    """One row per query with a hit list of its own length."""
+    hit_type = schema.field(1).type
+    hits = pa.StructArray.from_arrays(
+        [item_ids.take(pa.array(np.concatenate(columns))), pa.array(np.concatenate(scores))],
+        fields=list(hit_type.value_type),
+    )
+    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+    lists = pa.ListArray.from_arrays(offsets, hits, type=hit_type)
+    return pa.RecordBatch.from_arrays([query_ids, lists], schema=schema)
+
+
 def merge_best(
     pieces: list[tuple[pa.Array, np.ndarray, np.ndarray]], k: int, decimals: int
 ) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -103,15 +136,14 @@ def hit_lists(
 ) -> pa.RecordBatch:
     """One row per query: its id and its hits, best first; hits below its floor are left out."""
     n_q, k = columns.shape
-    lengths = np.full(n_q, k, dtype=np.int32)
-    if floors is not None:
-        keep = scores >= floors[:, None]
-        lengths = keep.sum(axis=1).astype(np.int32)
-        columns, scores = columns[keep], scores[keep]
-    hits = pa.StructArray.from_arrays(
-        [item_ids.take(pa.array(columns.ravel())), pa.array(scores.ravel())],
-        fields=list(schema.field("hits").type.value_type),
+    if floors is None:
+        return ragged_hits(query_ids, item_ids, [columns.ravel()], [scores.ravel()], [k] * n_q, schema)
+    keep = scores >= floors[:, None]
+    return ragged_hits(
+        query_ids,
+        item_ids,
+        [columns[keep]],
+        [scores[keep]],
+        keep.sum(axis=1),
+        schema,
     )
-    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
-    lists = pa.ListArray.from_arrays(offsets, hits, type=schema.field("hits").type)
-    return pa.RecordBatch.from_arrays([query_ids, lists], schema=schema)

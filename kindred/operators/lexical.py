@@ -3,8 +3,9 @@
 Documents with the same bag of tokens score alike for every query, so postings
 are kept for one document per bag and copies are added back at the end.
 
-A search scores all (query, document) pairs that share a term when an estimate
-says they are few.  Otherwise it prunes without losing a hit: the best postings
+A search scores all (query, document) pairs that share a term by a join when
+their number is small, and inside tasks when the postings of the query terms fit
+the broadcast bound.  Beyond both it prunes without losing a hit: the best postings
 of each query term give a score the query is sure to reach k times; terms too
 weak to lift a document there alone generate no candidates; and a posting is
 skipped when even the largest weights of all other terms could not lift its
@@ -13,12 +14,19 @@ document there.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kindred.config import BM25_B, BM25_EPSILON, BM25_K1, LIMITS, Limits
 from kindred.functions.text import tokens
+from kindred.operators import blocks
 from kindred.operators.topk import rank_by, top_k
 from kindred.session import stored
 
@@ -110,11 +118,17 @@ def build_lexical(
     return LexicalIndex.read(spark, path)
 
 
-def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> DataFrame:
-    """(query_id, bag_id): the token bag of every query, keyed by its content."""
-    return queries.select(
-        F.col(query_id).alias("query_id"), F.array_sort(tokens(F.col(text))).alias("bag")
-    ).withColumn("bag_id", bag_key(F.col("bag")))
+def query_bags(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The distinct token bags (bag_id, bag), and which one each query has (query_id, bag_id)."""
+    asked = queries.select(F.col(query_id).alias("query_id"), F.array_sort(tokens(F.col(text))).alias("bag"))
+    asked = asked.withColumn("key", bag_key(F.col("bag")))
+    # the numbers hold because the table is written before it is used
+    bags = stored(
+        asked.dropDuplicates(["key"]).select("key", "bag").withColumn("bag_id", F.monotonically_increasing_id()),
+        "bags",
+    )
+    owners = asked.select("query_id", "key").join(bags.select("key", "bag_id"), "key")
+    return bags.select("bag_id", "bag"), owners.select("query_id", "bag_id")
 
 
 def bm25_topk(
@@ -131,10 +145,9 @@ def bm25_topk(
     Documents that share no term score 0.  They are left out, but keep their
     places: a negative score ranks behind all of them.
     """
-    asked = query_terms(queries, query_id, text)
+    bags, owners = query_bags(queries, query_id, text)
     terms = (
-        asked.dropDuplicates(["bag_id"])
-        .select("bag_id", F.explode("bag").alias("term"))
+        bags.select("bag_id", F.explode("bag").alias("term"))
         .groupBy("bag_id", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
         .join(index.terms, "term")
@@ -147,24 +160,29 @@ def bm25_topk(
     )
     terms = stored(terms, "query-terms")
     load = terms.agg(F.sum("n_postings").alias("pairs"), F.min("factor").alias("low")).first()
-    if load["low"] is None or load["low"] < 0 or load["pairs"] <= limits.direct_pairs:
-        scored = _score_all(terms, index, limits)
-    else:
-        scored = _score_pruned(terms, index, k, decimals, limits)
-    scored = scored.withColumn("score", F.round("score", decimals)).where("score != 0")
-    if load["low"] is not None and load["low"] < 0:
+    pairs, low = load["pairs"] or 0, load["low"] or 0.0
+    if low < 0:
+        scored = _score_all(terms, index, pairs, decimals, limits)
         ranked = _rank_around_zero(_with_copies(scored, index, None), index.n_docs, k)
     else:
-        best = top_k(scored, k, "bag_id", "doc_id").drop("rank")
+        if pairs <= limits.direct_pairs:
+            best = top_k(_score_all(terms, index, pairs, decimals, limits), k, "bag_id", "doc_id").drop("rank")
+        elif _posting_bytes(terms) <= limits.broadcast_bytes:
+            best = _score_in_tasks(terms, index, pairs, k, decimals, limits)
+        else:
+            best = top_k(_score_pruned(terms, index, pairs, k, decimals, limits), k, "bag_id", "doc_id").drop("rank")
         ranked = top_k(_with_copies(best, index, k), k, "bag_id", "doc_id")
-    return asked.select("query_id", "bag_id").join(ranked, "bag_id").select(
+    return owners.join(ranked, "bag_id").select(
         "query_id", F.col("doc_id").alias("candidate_id"), "score", "rank"
     )
 
 
-def _salted(terms: DataFrame, postings: DataFrame, limits: Limits) -> DataFrame:
+def _salted(terms: DataFrame, postings: DataFrame, pairs: int, limits: Limits) -> DataFrame:
     """Join query terms with postings.
 
+    The tasks are sized by the pairs that come out, which the sizes of the two
+    inputs say nothing about.
+
     The postings of a frequent term are split over several keys, and so are the
     queries that use it, so no key pairs more than a bounded number of either.
     """
@@ -185,17 +203,100 @@ def _salted(terms: DataFrame, postings: DataFrame, limits: Limits) -> DataFrame:
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         .drop("salts", "slices")
     )
-    return left.join(right, ["term", "salt", "slice"])
+    keys = ["term", "salt", "slice"]
+    cores = terms.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(cores, ceil(pairs / 50_000)), ceil(pairs / limits.pairs_per_task), 1)
+    return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
 
 
-def _score_all(terms: DataFrame, index: LexicalIndex, limits: Limits) -> DataFrame:
-    postings = index.postings.select("term", "doc_id", "tfw")
-    matches = _salted(terms, postings, limits)
-    return matches.groupBy("bag_id", "doc_id").agg(F.sum(F.col("factor") * F.col("tfw")).alias("score"))
+def _summed(matches: DataFrame, decimals: int) -> DataFrame:
+    """Scores of (bag, document) pairs, rounded; pairs that sum to 0 are left out."""
+    return (
+        matches.groupBy("bag_id", "doc_id")
+        .agg(F.round(F.sum(F.col("factor") * F.col("tfw")), decimals).alias("score"))
+        .where("score != 0")
+    )
+
+
+def _score_all(
+    terms: DataFrame, index: LexicalIndex, pairs: int, decimals: int, limits: Limits
+) -> DataFrame:
+    """Every pair that shares a term, by a join on the term."""
+    matches = _salted(terms, index.postings.select("term", "doc_id", "tfw"), pairs, limits)
+    return _summed(matches, decimals)
+
+
+def _posting_bytes(terms: DataFrame) -> int:
+    """Size of the postings of all query terms, as the tasks would hold them."""
+    each = terms.groupBy("term").agg(F.max("n_postings").alias("n"))
+    return 48 * (each.agg(F.sum("n")).first()[0] or 0)
+
+
+def _score_in_tasks(
+    terms: DataFrame, index: LexicalIndex, pairs: int, k: int, decimals: int, limits: Limits
+) -> DataFrame:
+    """The k best per bag when the postings fit every executor: each task finishes its own bags."""
+    spark = terms.sparkSession
+    wanted = terms.select("term").distinct()
+    # at most limits.broadcast_bytes
+    table = index.postings.select("term", "doc_id", "tfw").join(wanted, "term", "left_semi").toArrow()
+    table = table.combine_chunks().sort_by("term")
+    words = table["term"].combine_chunks()
+    starts = np.flatnonzero(np.concatenate([[True], pc.not_equal(words[1:], words[:-1]).to_numpy(False)]))
+    ends = np.append(starts[1:], len(words))
+    span = dict(zip(words.take(pa.array(starts)).to_pylist(), zip(starts.tolist(), ends.tolist())))
+    ids = pc.unique(table["doc_id"])
+    ids = ids.take(pc.sort_indices(ids))
+    places = pc.index_in(table["doc_id"], value_set=ids).to_numpy()
+    shared = spark.sparkContext.broadcast((span, places, table["tfw"].to_numpy(), ids))
+
+    schema = T.StructType(
+        [
+            T.StructField("bag_id", T.LongType()),
+            T.StructField(
+                "hits",
+                T.ArrayType(
+                    T.StructType(
+                        [
+                            T.StructField("doc_id", index.postings.schema["doc_id"].dataType),
+                            T.StructField("score", T.DoubleType()),
+                        ]
+                    )
+                ),
+            ),
+        ]
+    )
+    arrow_schema = to_arrow_schema(schema)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span, places, tfw, ids = shared.value
+        n = len(ids)
+        for batch in batches:
+            found_places, found_scores, lengths = [], [], []
+            for bag in batch.column("terms").to_pylist():
+                scores = np.zeros(n)
+                for entry in bag:
+                    start, end = span[entry["term"]]
+                    # a document occurs once per term, so plain indexing adds up
+                    scores[places[start:end]] += entry["factor"] * tfw[start:end]
+                columns, best = blocks.best_in_row(scores, k, decimals)
+                found_places.append(columns)
+                found_scores.append(best)
+                lengths.append(len(columns))
+            if lengths:
+                yield blocks.ragged_hits(
+                    batch.column("bag_id"), ids, found_places, found_scores, lengths, arrow_schema
+                )
+
+    bags = terms.groupBy("bag_id").agg(F.collect_list(F.struct("term", "factor")).alias("terms"))
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(cores, ceil(pairs / (20 * limits.pairs_per_task)))
+    hits = bags.repartition(tasks).mapInArrow(search, schema)
+    return hits.select("bag_id", F.explode("hits").alias("hit")).select("bag_id", "hit.doc_id", "hit.score")
 
 
 def _score_pruned(
-    terms: DataFrame, index: LexicalIndex, k: int, decimals: int, limits: Limits
+    terms: DataFrame, index: LexicalIndex, pairs: int, k: int, decimals: int, limits: Limits
 ) -> DataFrame:
     """Exact top-k scores; documents that cannot reach the k best may be missing."""
     postings = index.postings.select("term", "doc_id", "tfw").join(
@@ -223,7 +324,7 @@ def _score_pruned(
     planned = stored(planned, "query-plan")
     strong = planned.where(F.col("up_to") >= F.col("reached")).drop("n_postings")
     # what all other terms can add at most decides which postings still matter
-    promising = _salted(strong, postings, limits).where(
+    promising = _salted(strong, postings, pairs, limits).where(
         F.col("factor") * F.col("tfw") + F.col("all") - F.col("bound") >= F.col("reached")
     )
     candidates = (
@@ -239,11 +340,7 @@ def _score_pruned(
     )
     # every term of the surviving pairs, each looked up once
     lookups = candidates.join(terms.select("bag_id", "term", "factor"), "bag_id")
-    return (
-        lookups.join(postings, ["doc_id", "term"])
-        .groupBy("bag_id", "doc_id")
-        .agg(F.sum(F.col("factor") * F.col("tfw")).alias("score"))
-    )
+    return _summed(lookups.join(postings, ["doc_id", "term"]), decimals)
 
 
 def _with_copies(scored: DataFrame, index: LexicalIndex, k: int | None) -> DataFrame:

@@ -9,7 +9,8 @@ from kindred.operators.lexical import bm25_topk, build_lexical
 from kindred.session import scratch_path
 
 DIRECT = Limits()
-PRUNED = Limits(direct_pairs=0, postings_per_key=7, queries_per_key=5)
+IN_TASKS = Limits(direct_pairs=0)
+PRUNED = Limits(direct_pairs=0, broadcast_bytes=0, postings_per_key=7, queries_per_key=5, pairs_per_task=500)
 
 
 def brute(docs, queries, k, k1=1.5, b=0.75, epsilon=0.25):
@@ -65,14 +66,14 @@ def corpus(seed=5, n=300):
     return docs, queries
 
 
-@pytest.mark.parametrize("limits", [DIRECT, PRUNED])
+@pytest.mark.parametrize("limits", [DIRECT, IN_TASKS, PRUNED])
 @pytest.mark.parametrize("k", [3, 25])
 def test_equals_brute_force(spark, limits, k):
     docs, queries = corpus()
     close(run(spark, docs, queries, k, limits), brute(docs, queries, k))
 
 
-@pytest.mark.parametrize("limits", [DIRECT, PRUNED])
+@pytest.mark.parametrize("limits", [DIRECT, IN_TASKS, PRUNED])
 def test_negative_scores_rank_behind_unmatched_documents(spark, limits):
     docs = {f"d{i}": "a b c" for i in range(6)} | {"d6": "z", "d7": "z a"}
     queries = {"q": "a z", "q2": "b"}
