@@ -152,7 +152,7 @@ def bm25_topk(
         .agg(F.count(F.lit(1)).alias("qtf"))
         .join(index.terms, "term")
         .select(
-            "bag_id", "term", "n_postings",
+            "bag_id", "term", "n_postings", "df",
             (F.col("qtf") * F.col("idf")).alias("factor"),
             (F.col("qtf") * F.col("idf") * F.col("max_tfw")).alias("bound"),
             F.ceil(F.col("n_postings") / limits.postings_per_key).cast("int").alias("salts"),
@@ -164,13 +164,14 @@ def bm25_topk(
     if low < 0:
         scored = _score_all(terms, index, pairs, decimals, limits)
         ranked = _rank_around_zero(_with_copies(scored, index, None), index.n_docs, k)
+    elif pairs > limits.direct_pairs and _posting_bytes(terms) <= limits.broadcast_bytes:
+        ranked = _rank_in_tasks(terms, index, pairs, k, decimals, limits)
     else:
         if pairs <= limits.direct_pairs:
-            best = top_k(_score_all(terms, index, pairs, decimals, limits), k, "bag_id", "doc_id").drop("rank")
-        elif _posting_bytes(terms) <= limits.broadcast_bytes:
-            best = _score_in_tasks(terms, index, pairs, k, decimals, limits)
+            scored = _score_all(terms, index, pairs, decimals, limits)
         else:
-            best = top_k(_score_pruned(terms, index, pairs, k, decimals, limits), k, "bag_id", "doc_id").drop("rank")
+            scored = _score_pruned(terms, index, pairs, k, decimals, limits)
+        best = top_k(scored, k, "bag_id", "doc_id").drop("rank")
         ranked = top_k(_with_copies(best, index, k), k, "bag_id", "doc_id")
     return owners.join(ranked, "bag_id").select(
         "query_id", F.col("doc_id").alias("candidate_id"), "score", "rank"
@@ -227,19 +228,20 @@ def _score_all(
 
 
 def _posting_bytes(terms: DataFrame) -> int:
-    """Size of the postings of all query terms, as the tasks would hold them."""
-    each = terms.groupBy("term").agg(F.max("n_postings").alias("n"))
+    """Size of the postings of all query terms, copies included, as the tasks would hold them."""
+    each = terms.groupBy("term").agg(F.max("df").alias("n"))
     return 48 * (each.agg(F.sum("n")).first()[0] or 0)
 
 
-def _score_in_tasks(
+def _rank_in_tasks(
     terms: DataFrame, index: LexicalIndex, pairs: int, k: int, decimals: int, limits: Limits
 ) -> DataFrame:
-    """The k best per bag when the postings fit every executor: each task finishes its own bags."""
+    """The ranked k best per bag when the postings fit every executor: each task finishes its own bags."""
     spark = terms.sparkSession
     wanted = terms.select("term").distinct()
+    postings = index.postings.select("term", "doc_id", "tfw").join(wanted, "term", "left_semi")
     # at most limits.broadcast_bytes
-    table = index.postings.select("term", "doc_id", "tfw").join(wanted, "term", "left_semi").toArrow()
+    table = _with_copies(postings, index, k).select("term", "doc_id", "tfw").toArrow()
     table = table.combine_chunks().sort_by("term")
     words = table["term"].combine_chunks()
     starts = np.flatnonzero(np.concatenate([[True], pc.not_equal(words[1:], words[:-1]).to_numpy(False)]))
@@ -292,7 +294,9 @@ def _score_in_tasks(
     cores = spark.sparkContext.defaultParallelism
     tasks = max(cores, ceil(pairs / (20 * limits.pairs_per_task)))
     hits = bags.repartition(tasks).mapInArrow(search, schema)
-    return hits.select("bag_id", F.explode("hits").alias("hit")).select("bag_id", "hit.doc_id", "hit.score")
+    return hits.select("bag_id", F.posexplode("hits").alias("pos", "hit")).select(
+        "bag_id", "hit.doc_id", "hit.score", (F.col("pos") + 1).alias("rank")
+    )
 
 
 def _score_pruned(
@@ -343,17 +347,17 @@ def _score_pruned(
     return _summed(lookups.join(postings, ["doc_id", "term"]), decimals)
 
 
-def _with_copies(scored: DataFrame, index: LexicalIndex, k: int | None) -> DataFrame:
-    """Add the documents that share a bag with a scored one; past the k first ids none can be a hit."""
+def _with_copies(rows: DataFrame, index: LexicalIndex, k: int | None) -> DataFrame:
+    """Repeat rows for the documents with the same bag; past the k first ids none can be a hit."""
     members = index.documents.where("copies > 1").select("doc_id", "first_id")
     if k is not None:
         members = rank_by(members, ["first_id"], [F.asc("doc_id")], k, "nth").drop("nth")
     single = index.documents.where("copies = 1").select("doc_id", F.col("doc_id").alias("first_id"))
     groups = members.unionByName(single)
     return (
-        scored.withColumnRenamed("doc_id", "first_id")
+        rows.withColumnRenamed("doc_id", "first_id")
         .join(groups, "first_id")
-        .select("bag_id", "doc_id", "score")
+        .drop("first_id")
     )
 
 
