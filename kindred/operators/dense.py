@@ -197,17 +197,19 @@ def meet_in_cells(
         F.ceil(F.col("q_rows") / limits.block_rows).cast("int").alias("slices"),
         F.ceil(F.col("i_rows") / limits.block_rows).cast("int").alias("parts"),
     )
+    def own(*names: str) -> list:
+        # both sides may come from one table; renaming keeps their columns apart
+        return [F.col(name).alias(name) for name in names]
+
     left = routed.join(splits, "cell").select(
-        "cell",
+        *own("cell", "query_id", "vector", "floor"),
         F.expr("cast(pmod(xxhash64(query_id), slices) as int)").alias("slice"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        "query_id", "vector", "floor",
     )
     right = celled.join(splits, "cell").select(
-        "cell",
+        *own("cell", "candidate_id", "vector"),
         F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
         F.expr("cast(pmod(xxhash64(candidate_id), parts) as int)").alias("part"),
-        "candidate_id", "vector",
     )
     schema = _hits_schema(routed.schema["query_id"].dataType, celled.schema["candidate_id"].dataType)
     arrow_schema = to_arrow_schema(schema)
