@@ -66,6 +66,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cores: the test file is a single split, unlike a large table."""
+    docs = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+
+
 def raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RAW_SQL, part=table(spark, sf_dir, "part"), lineitem=table(spark, sf_dir, "lineitem"))
 

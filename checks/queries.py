@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from checks.catalogue import TOP_N_BRANDS, TOP_N_COLORS, product_vectors, products, raw_catalogue, search_index, table
+from checks.catalogue import (
+    TOP_N_BRANDS, TOP_N_COLORS, documents, product_vectors, products, raw_catalogue, search_index, table,
+)
 from kindred.config import HYBRID_MODES, MODES
 from kindred.functions import clean as c, text as t, vectors as v
 from kindred.operators import profile
@@ -141,13 +143,13 @@ def rerank_text(spark, sf_dir):
 @query
 def audience_class(spark, sf_dir):
     own = products(spark, sf_dir).select(t.audience(F.col("categories"), F.col("product_name")).alias("audience"))
-    docs = table(spark, sf_dir, "documents").select(t.audience(F.col("lang"), F.col("text")).alias("audience"))
+    docs = documents(spark, sf_dir).select(t.audience(F.col("lang"), F.col("text")).alias("audience"))
     return union([x.groupBy("audience").agg(F.count(F.lit(1)).alias("n")) for x in (own, docs)])
 
 
 @query
 def tokenize_counts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", t.tokens(F.col("text")).alias("t"))
+    docs = documents(spark, sf_dir).select("doc_id", t.tokens(F.col("text")).alias("t"))
     return docs.select(
         "doc_id",
         F.size("t").alias("n_tokens"),
@@ -233,7 +235,7 @@ def vector_counts(spark, sf_dir):
 
 @query
 def text_vectors(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     made = hashed_text_vectors(docs, "text", 64)
     return made.select("doc_id", F.size("text_vector").alias("dim"), rounded(v.norm(F.col("text_vector")), 4).alias("norm"))
 
@@ -287,7 +289,7 @@ def knn_lsh_candidates(spark, sf_dir):
 
 
 def _document_index(spark, sf_dir) -> LexicalIndex:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return build_lexical(docs, scratch_path(spark, "documents"), doc_id="doc_id")
 
 

@@ -21,6 +21,15 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it.
+
+    Array functions are interpreted, and Spark does not share their repeated
+    arguments; nested uses would multiply.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(doubles(v), F.lit(0.0), lambda s, x: s + x * x))
 
@@ -33,11 +42,13 @@ def squared_l2(a: Column, b: Column) -> Column:
 
 def l2_normalize(v: Column) -> Column:
     """V1: unit vector in double precision; a zero vector stays zero."""
-    length = norm(v)
-    scale = F.when(length == 0.0, F.lit(1.0)).otherwise(length)
-    # pairing with the repeated length keeps it out of the per-element lambda,
-    # where Spark would compute it again for every element
-    return F.zip_with(doubles(v), F.array_repeat(scale, F.size(v)), lambda x, s: x / s)
+
+    def divided(d: Column) -> Column:
+        divisor = let(norm(d), lambda n: F.when(n == 0.0, F.lit(1.0)).otherwise(n))
+        # pairing with the repeated divisor keeps it out of the per-element lambda
+        return F.zip_with(d, F.array_repeat(divisor, F.size(d)), lambda x, s: x / s)
+
+    return let(doubles(v), divided)
 
 
 def scale(v: Column, factor: float) -> Column:
@@ -85,5 +96,9 @@ def fused_cosine(
 
 def checked(v: Column, dim: int) -> Column:
     """V9: the same vector, failing the job when its length differs from ``dim``."""
-    bad = F.concat(F.lit(f"vector length must be {dim}, got "), F.size(v).cast("string"))
-    return F.when(F.size(v) == dim, v).otherwise(F.raise_error(bad).cast("array<float>"))
+
+    def check(x: Column) -> Column:
+        bad = F.concat(F.lit(f"vector length must be {dim}, got "), F.size(x).cast("string"))
+        return F.when(F.size(x) == dim, x).otherwise(F.raise_error(bad).cast("array<float>"))
+
+    return let(v, check)

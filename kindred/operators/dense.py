@@ -386,6 +386,6 @@ def _routed_exact(q, i, k, decimals, i_size, limits) -> DataFrame:
     return (
         q.join(asked, "vector")
         .select("query_id", "first_query")
-        .join(per_vector, "first_query")
+        .join(per_vector.hint("merge"), "first_query")
         .select("query_id", "candidate_id", "score", "rank")
     )

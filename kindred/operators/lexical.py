@@ -59,8 +59,8 @@ class LexicalIndex:
 
 
 def bag_key(bag: Column) -> Column:
-    """A key equal for texts with the same tokens, in any order; tokens hold no blanks."""
-    return F.sha2(F.array_join(F.array_sort(bag), " "), 256)
+    """A key of a sorted bag: equal for texts with the same tokens, as no token holds a blank."""
+    return F.sha2(F.array_join(bag, " "), 256)
 
 
 def build_lexical(
@@ -74,30 +74,38 @@ def build_lexical(
 ) -> LexicalIndex:
     """Tokenize ``docs`` and write the index tables below ``path``."""
     spark = docs.sparkSession
-    bags = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("bag"))
-    keyed = bags.select("doc_id", F.size("bag").alias("dl"), bag_key(F.col("bag")).alias("key"))
+    bags = docs.select(
+        F.col(doc_id).alias("doc_id"), F.sort_array(tokens(F.col(text))).alias("bag")
+    ).select("doc_id", "bag", F.size("bag").alias("dl"), bag_key(F.col("bag")).alias("key"))
+
+    keyed = stored(bags.select("doc_id", "dl", "key"), "bag-keys")
     groups = keyed.groupBy("key").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
     )
     keyed.join(groups, "key").drop("key").write.mode("overwrite").parquet(f"{path}/documents")
     documents = spark.read.parquet(f"{path}/documents")
-
     totals = documents.agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("dl")).first()
     n_docs = totals["n"]
     avgdl = (totals["dl"] or 0) / n_docs if n_docs else 0.0
 
-    originals = documents.where(F.col("doc_id") == F.col("first_id")).select("doc_id", "dl", "copies")
-    counted = (
-        bags.join(originals.select("doc_id"), "doc_id", "left_semi")
-        .select("doc_id", F.explode("bag").alias("term"))
-        .groupBy("doc_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    # Counting per bag instead of per document folds copies together in the map-side
+    # step, and needs no join to leave them out.  In a sorted bag, the first of equal
+    # tokens differs from the one before it, so those firsts count the documents.
+    previous = F.slice(F.concat(F.array(F.lit("")), F.col("bag")), F.lit(1), F.size("bag"))
+    occurrences = bags.select(
+        "doc_id", "dl", "key", F.inline(F.arrays_zip(F.col("bag").alias("term"), previous.alias("previous")))
+    )
+    counted = occurrences.groupBy("key", "term").agg(
+        F.count(F.lit(1)).alias("occurrences"),
+        F.count_if(F.col("term") != F.col("previous")).alias("copies"),
+        F.min("doc_id").alias("doc_id"),
+        F.min("dl").alias("dl"),
     )
-    tf, dl = F.col("tf"), F.col("dl")
+    tf, dl = F.col("occurrences") / F.col("copies"), F.col("dl")
     tfw = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / F.lit(avgdl)))
-    counted.join(originals, "doc_id").select("term", "doc_id", tfw.alias("tfw"), "copies").write.mode(
-        "overwrite"
-    ).parquet(f"{path}/postings")
+    counted.select("term", "doc_id", tfw.alias("tfw"), "copies").write.mode("overwrite").parquet(
+        f"{path}/postings"
+    )
     postings = spark.read.parquet(f"{path}/postings")
 
     raw = postings.groupBy("term").agg(
@@ -120,7 +128,7 @@ def build_lexical(
 
 def query_bags(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The distinct token bags (bag_id, bag), and which one each query has (query_id, bag_id)."""
-    asked = queries.select(F.col(query_id).alias("query_id"), F.array_sort(tokens(F.col(text))).alias("bag"))
+    asked = queries.select(F.col(query_id).alias("query_id"), F.sort_array(tokens(F.col(text))).alias("bag"))
     asked = asked.withColumn("key", bag_key(F.col("bag")))
     # the numbers hold because the table is written before it is used
     bags = stored(
@@ -159,13 +167,23 @@ def bm25_topk(
         )
     )
     terms = stored(terms, "query-terms")
-    load = terms.agg(F.sum("n_postings").alias("pairs"), F.min("factor").alias("low")).first()
+    per_term = terms.groupBy("term").agg(
+        F.sum("n_postings").alias("pairs"), F.min("factor").alias("low"), F.max("df").alias("df")
+    )
+    load = per_term.agg(F.sum("pairs").alias("pairs"), F.min("low").alias("low"), F.sum("df").alias("df")).first()
     pairs, low = load["pairs"] or 0, load["low"] or 0.0
+    # what the postings of all query terms, copies included, would take in a task
+    posting_bytes = 48 * (load["df"] or 0)
     if low < 0:
         scored = _score_all(terms, index, pairs, decimals, limits)
         ranked = _rank_around_zero(_with_copies(scored, index, None), index.n_docs, k)
-    elif pairs > limits.direct_pairs and _posting_bytes(terms) <= limits.broadcast_bytes:
-        ranked = _rank_in_tasks(terms, index, pairs, k, decimals, limits)
+    elif pairs > limits.direct_pairs and posting_bytes <= limits.broadcast_bytes:
+        hits = _rank_in_tasks(terms, index, pairs, k, decimals, limits)
+        return owners.join(hits.hint("merge"), "bag_id").select(
+            "query_id", F.posexplode("hits").alias("pos", "hit")
+        ).select(
+            "query_id", F.col("hit.doc_id").alias("candidate_id"), "hit.score", (F.col("pos") + 1).alias("rank")
+        )
     else:
         if pairs <= limits.direct_pairs:
             scored = _score_all(terms, index, pairs, decimals, limits)
@@ -173,7 +191,8 @@ def bm25_topk(
             scored = _score_pruned(terms, index, pairs, k, decimals, limits)
         best = top_k(scored, k, "bag_id", "doc_id").drop("rank")
         ranked = top_k(_with_copies(best, index, k), k, "bag_id", "doc_id")
-    return owners.join(ranked, "bag_id").select(
+    # the planner guesses the lists as small as the queries they come from; they are not
+    return owners.join(ranked.hint("merge"), "bag_id").select(
         "query_id", F.col("doc_id").alias("candidate_id"), "score", "rank"
     )
 
@@ -227,16 +246,10 @@ def _score_all(
     return _summed(matches, decimals)
 
 
-def _posting_bytes(terms: DataFrame) -> int:
-    """Size of the postings of all query terms, copies included, as the tasks would hold them."""
-    each = terms.groupBy("term").agg(F.max("df").alias("n"))
-    return 48 * (each.agg(F.sum("n")).first()[0] or 0)
-
-
 def _rank_in_tasks(
     terms: DataFrame, index: LexicalIndex, pairs: int, k: int, decimals: int, limits: Limits
 ) -> DataFrame:
-    """The ranked k best per bag when the postings fit every executor: each task finishes its own bags."""
+    """(bag_id, hits best first) when the postings fit every executor: a task finishes its own bags."""
     spark = terms.sparkSession
     wanted = terms.select("term").distinct()
     postings = index.postings.select("term", "doc_id", "tfw").join(wanted, "term", "left_semi")
@@ -293,10 +306,7 @@ def _rank_in_tasks(
     bags = terms.groupBy("bag_id").agg(F.collect_list(F.struct("term", "factor")).alias("terms"))
     cores = spark.sparkContext.defaultParallelism
     tasks = max(cores, ceil(pairs / (20 * limits.pairs_per_task)))
-    hits = bags.repartition(tasks).mapInArrow(search, schema)
-    return hits.select("bag_id", F.posexplode("hits").alias("pos", "hit")).select(
-        "bag_id", "hit.doc_id", "hit.score", (F.col("pos") + 1).alias("rank")
-    )
+    return bags.repartition(tasks).mapInArrow(search, schema)
 
 
 def _score_pruned(
