@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF, IDF, Normalizer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from kindred.config import IMAGE_DIM, TEXT_DIM
 from kindred.functions.text import tokens
@@ -24,7 +24,7 @@ def attach_vectors(
     ``make_predict()`` loads the model, once per Python worker, and returns a
     function from a batch of inputs to a matrix with ``dim`` columns.
     """
-    predict = predict_batch_udf(make_predict, return_type="array<float>", batch_size=batch_size)
+    predict = predict_batch_udf(make_predict, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
     present = df.where(F.col(source).isNotNull())
     absent = df.where(F.col(source).isNull())
