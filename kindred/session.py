@@ -56,3 +56,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application wrote below the shared folder; call it when its results are done."""
+    jvm = spark.sparkContext._jvm
+    app = spark.sparkContext.applicationId
+    own = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/kindred/{app}")
+    own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(own, True)
