@@ -70,16 +70,21 @@ def best_columns(
 
 def best_in_row(scores: np.ndarray, k: int, decimals: int) -> tuple[np.ndarray, np.ndarray]:
     """The k best columns with a score other than 0 of one query, best first, and their scores."""
-    unit = 10.0**decimals
-    rounded = np.floor(scores * unit + 0.5)
-    columns = np.flatnonzero(rounded)
-    n = len(scores)
-    keys = rounded[columns].astype(np.int64) * n + (n - 1 - columns)
+    unit, n = 10.0**decimals, len(scores)
+    if n > k:
+        # only scores that could round to the k-th best one are worth rounding
+        reached = np.partition(scores, n - k)[n - k]
+        columns = np.flatnonzero((scores >= reached - 1.0 / unit) & (scores != 0))
+    else:
+        columns = np.flatnonzero(scores)
+    rounded = np.floor(scores[columns] * unit + 0.5)
+    columns, rounded = columns[rounded != 0], rounded[rounded != 0]
+    keys = rounded.astype(np.int64) * n + (n - 1 - columns)
     if len(columns) > k:
         top = np.argpartition(keys, len(keys) - k)[len(keys) - k :]
-        columns, keys = columns[top], keys[top]
-    columns = columns[np.argsort(-keys)]
-    return columns, rounded[columns] / unit
+        columns, rounded, keys = columns[top], rounded[top], keys[top]
+    order = np.argsort(-keys)
+    return columns[order], rounded[order] / unit
 
 
 def ragged_hits(

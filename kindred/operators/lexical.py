@@ -286,14 +286,22 @@ def _rank_in_tasks(
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span, places, tfw, ids = shared.value
         n = len(ids)
+        whole: dict[str, np.ndarray] = {}  # frequent terms as one weight per document
         for batch in batches:
             found_places, found_scores, lengths = [], [], []
             for bag in batch.column("terms").to_pylist():
                 scores = np.zeros(n)
                 for entry in bag:
-                    start, end = span[entry["term"]]
+                    term, factor = entry["term"], entry["factor"]
+                    start, end = span[term]
                     # a document occurs once per term, so plain indexing adds up
-                    scores[places[start:end]] += entry["factor"] * tfw[start:end]
+                    if 8 * (end - start) < n:
+                        scores[places[start:end]] += factor * tfw[start:end]
+                        continue
+                    if term not in whole:
+                        whole[term] = np.zeros(n)
+                        whole[term][places[start:end]] = tfw[start:end]
+                    scores += factor * whole[term]
                 columns, best = blocks.best_in_row(scores, k, decimals)
                 found_places.append(columns)
                 found_scores.append(best)

@@ -9,7 +9,7 @@ from kindred.functions.text import long_pair_text, short_pair_text
 from kindred.operators.dense import exact_topk
 from kindred.operators.fusion import rrf
 from kindred.operators.lexical import bm25_topk
-from kindred.operators.rerank import PairScorer, rerank, token_overlap
+from kindred.operators.rerank import TOKEN_OVERLAP, PairScorer, rerank
 from kindred.operators.topk import drop_self, renumber
 from kindred.plans.build import with_lexical_text
 from kindred.sources.artifacts import SearchIndex
@@ -43,14 +43,19 @@ def lexical_candidates(
 
 
 def candidates(
-    queries: DataFrame, index: SearchIndex, mode: str, depth: int = CANDIDATE_DEPTH, limits: Limits = LIMITS
+    queries: DataFrame,
+    index: SearchIndex,
+    mode: str,
+    depth: int = CANDIDATE_DEPTH,
+    limits: Limits = LIMITS,
+    first: int | None = None,
 ) -> DataFrame:
     """(query_id, candidate_id, score, rank), the query product dropped, ranks closed.
 
     Hybrid modes fuse dense and lexical lists and give the fused score; image mode
     gives the cosine.  Where ``queries`` has a column ``depth``, none above
     ``depth``, each query uses lists of its own depth, and the result has that
-    column too.
+    column too.  ``first`` says that only so many per query will be used.
     """
     keys = [name for name in ("query_id", "depth") if name in queries.columns]
 
@@ -62,14 +67,20 @@ def candidates(
     ranked = cut(dense_candidates(queries, index, mode, depth, limits))
     if mode in HYBRID_MODES and index.lexical is not None:
         sparse = cut(lexical_candidates(queries, index, depth, limits))
-        ranked = rrf(ranked, sparse, depth=depth, keys=keys)
+        # one more than wanted, as the query product may be among them; the bound on
+        # fused scores needs dense lists at least that long
+        keep = None if first is None else min(first + 1, depth)
+        if keep is not None and index.dense[mode].count() < keep:
+            keep = None
+        ranked = rrf(ranked, sparse, depth=depth, keys=keys, keep=keep)
         if "depth" in keys:
             ranked = ranked.where(F.col("rank") <= F.col("depth"))
     return renumber(drop_self(ranked.select(*keys, "candidate_id", "score", "rank")), depth, keys)
 
 
-def with_texts(pairs: DataFrame, products: DataFrame, text: Column) -> DataFrame:
-    texts = products.select("uniq_id", text.alias("text"))
+def with_texts(pairs: DataFrame, products: DataFrame, text: Column, scorer: PairScorer) -> DataFrame:
+    """Pairs with the texts of both products, prepared for the scorer."""
+    texts = products.select("uniq_id", scorer.prepare(text).alias("text"))
     left = texts.withColumnsRenamed({"uniq_id": "query_id", "text": "query_text"})
     right = texts.withColumnsRenamed({"uniq_id": "candidate_id", "text": "candidate_text"})
     return pairs.join(left, "query_id").join(right, "candidate_id")
@@ -92,11 +103,13 @@ def _stage_two(
     scorer: PairScorer,
     limits: Limits,
 ) -> DataFrame:
-    found = candidates(queries, index, mode, depth_for(n), limits)
+    used = max(RERANK_DEPTH, n) if mode in HYBRID_MODES else n
+    found = candidates(queries, index, mode, depth_for(n), limits, first=used)
+    first = found.where(F.col("rank") <= used)
     if mode not in HYBRID_MODES:
-        return found.where(F.col("rank") <= n)
-    first = found.where(F.col("rank") <= max(RERANK_DEPTH, n)).drop("score")
-    return rerank(with_texts(first, index.products, text), n, scorer)
+        return first
+    first = first.drop("score")
+    return rerank(with_texts(first, index.products, text, scorer), n, scorer)
 
 
 def recommend(
@@ -104,7 +117,7 @@ def recommend(
     index: SearchIndex,
     n: int,
     mode: str = "text_structured",
-    scorer: PairScorer = token_overlap,
+    scorer: PairScorer = TOKEN_OVERLAP,
     limits: Limits = LIMITS,
 ) -> DataFrame:
     """The n most similar products per query: (query_id, rank, candidate_id).
@@ -121,7 +134,7 @@ def recommend_detailed(
     index: SearchIndex,
     n: int = CANDIDATE_DEPTH,
     mode: str = "text_structured",
-    scorer: PairScorer = token_overlap,
+    scorer: PairScorer = TOKEN_OVERLAP,
     limits: Limits = LIMITS,
 ) -> DataFrame:
     """Scored candidates with their product fields.

@@ -8,7 +8,7 @@ from kindred.operators.ann import CellIndex, ivf_topk, lsh_topk
 from kindred.operators.dense import exact_topk
 from kindred.operators.evaluate import jaccard_at_k, percentile_summary, recall_at_k
 from kindred.operators.fusion import rrf
-from kindred.operators.rerank import model_scorer, rerank
+from kindred.operators.rerank import TOKEN_OVERLAP, model_scorer, rerank
 from kindred.plans import recommend as r
 from kindred.plans.build import availability, load_or_build, purge_index
 from kindred.plans.compare import compare_engines, compare_modes
@@ -60,6 +60,9 @@ def test_rrf(spark):
     for depth in (3, 100):
         found = rrf(ranked(spark, *dense), ranked(spark, *sparse), depth=depth)
         assert lists(found)["q"] == brute_rrf(dense, sparse, depth)
+    for keep in (1, 2, 5, 8):
+        found = rrf(ranked(spark, *dense), ranked(spark, *sparse), keep=keep)
+        assert lists(found)["q"] == brute_rrf(dense, sparse, keep)
     # swapping the lists changes no score
     a = {r["candidate_id"]: r["score"] for r in rrf(ranked(spark, *dense), ranked(spark, *sparse[:3])).collect()}
     b = {r["candidate_id"]: r["score"] for r in rrf(ranked(spark, *sparse[:3]), ranked(spark, *dense)).collect()}
@@ -71,8 +74,11 @@ def test_rerank_keeps_order_of_ties_and_takes_a_model(spark):
         [("q", "b", 1, "x y", "x"), ("q", "a", 2, "x y", "y"), ("q", "c", 3, "x y", "Y x"), ("p", "a", 1, "", "")],
         "query_id string, candidate_id string, rank int, query_text string, candidate_text string",
     )
-    assert lists(rerank(pairs, 3)) == {"q": ["c", "b", "a"], "p": ["a"]}
-    assert rerank(pairs.where("false"), 3).count() == 0
+    words = pairs
+    for side in ("query_text", "candidate_text"):
+        words = words.withColumn(side, TOKEN_OVERLAP.prepare(F.col(side)))
+    assert lists(rerank(words, 3)) == {"q": ["c", "b", "a"], "p": ["a"]}
+    assert rerank(words.where("false"), 3).count() == 0
 
     def make():
         return lambda left, right: np.array([float(len(b) - len(a)) for a, b in zip(left, right)])
