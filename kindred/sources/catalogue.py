@@ -52,13 +52,14 @@ def raw_columns(spark: SparkSession, path: str) -> list[str]:
     return [name for name in known if seen[name]]
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """The raw catalogue with every column as the text of its JSON token.
 
     Reading text keeps ``200.00`` and ``999999999`` as written, and keeps each
-    key-value field with the keys of its own record.
+    key-value field with the keys of its own record.  ``columns`` names the columns
+    of the source and saves the scan that looks for them.
     """
-    names = raw_columns(spark, path)
+    names = raw_columns(spark, path) if columns is None else columns
     missing = [name for name in REQUIRED if name not in names]
     if missing:
         raise ValueError(f"raw catalogue lacks the columns {missing}")
@@ -117,9 +118,11 @@ def clean(raw: DataFrame, strip_chars: str = "first", kv_nulls: str = "keep") ->
     return raw.select(*clean_columns(raw, strip_chars, kv_nulls))
 
 
-def load_and_clean(spark: SparkSession, path: str, **options) -> DataFrame:
+def load_and_clean(
+    spark: SparkSession, path: str, columns: list[str] | None = None, **options
+) -> DataFrame:
     """Read the raw catalogue and clean it."""
-    return clean(read_raw(spark, path), **options)
+    return clean(read_raw(spark, path, columns), **options)
 
 
 def duplicate_ids(products: DataFrame) -> DataFrame:

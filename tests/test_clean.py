@@ -120,6 +120,8 @@ def test_load_and_clean(spark, write):
     df = load_and_clean(spark, path)
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in CLEAN_SCHEMA]
     a, b = df.orderBy("uniq_id").collect()
+    named = load_and_clean(spark, path, columns=list(record()))
+    assert sorted(named.collect()) == sorted(df.collect())
     assert (a.brand, a.delivery_type, a.color, a.categories) == ("Unknown", "unknown", "navy", "Tops Mens")
     assert (a.sales_price, a.weight, a.rating, a.image_url) == (200.0, None, 4.5, "http://i/1")
     assert (a.is_prime, a.is_bestseller, a.discount_percentage, a.no_of_reviews) == (1, 0, 0.0, 0.0)
