@@ -44,7 +44,7 @@ select
        end as medium,
   case when p_partkey % 43 = 0 then null
        else p_name || ', ' || p_type || ', ' || p_brand || ', ' || p_name end as meta_keywords,
-  case when p_size % 4 = 0 then null when p_size % 4 = 1 then 'amazon' else 'merchant' end as delivery_type,
+  case when p_size % 4 = 0 then null when p_size % 4 = 1 then 'store' else 'merchant' end as delivery_type,
   case when p_size % 3 = 0 then 'Y' when p_size % 3 = 1 then 'y' when p_size = 5 then null else 'N' end
     as amazon_prime__y_or_n,
   case when coalesce(reviews, 0) > 30 then 'Y' else 'N' end as best_seller_tag__y_or_n,
