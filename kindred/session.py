@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,23 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    The driver serves the archive; a cluster on which the package is installed, or that got it by ``--py-files``,
+    needs no call.
+    """
+    context = spark.sparkContext
+    name = f"kindred-{context.applicationId}.zip"
+    if any(file.endswith(name) for file in context._python_includes):
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        str(Path(tempfile.mkdtemp(prefix="kindred-")) / name.removesuffix(".zip")), "zip", package.parent, package.name
+    )
+    context.addPyFile(archive)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors, as named by ``spark.checkpoint.dir``.
 
