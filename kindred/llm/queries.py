@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kindred.llm import packing, repetition, sharding, simhash
-from kindred.llm.common import table
+from kindred.llm import bpe, language, packing, quality, repetition, sharding, simhash
+from kindred.llm.common import crc_fold, table
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +29,36 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs.select("doc_id", "text"), labels.where(crc_fold("doc_id", 5) != 0))
+    scored = quality.classify(docs, model)
+    return scored.select("doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(crc_fold("doc_id", 4) != 2))
+    found = language.identify(docs, model)
+    return found.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack, op3_repetition, op4_simhash, op6_shards)
+    f.__name__: f for f in (
+        op1_pack, op3_repetition, op4_simhash, op6_shards, op7_bpe, op8_quality, op10_language,
+    )
+
 }
 
 # DuckDB has neither XXH64 with a seed nor the tokenizers, and what follows from them or from models is tested by brute force
