@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kindred.llm import bpe, language, packing, quality, repetition, sharding, simhash
+from kindred.llm import bpe, hmm, language, packing, quality, repetition, sharding, simhash
 from kindred.llm.common import crc_fold, table
 
 
@@ -47,6 +47,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op9_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = hmm.score_texts(table(spark, sf_dir, "documents"), crc_fold("doc_id", 7) != 2)
+    return scored.select(
+        "doc_id", (crc_fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(crc_fold("doc_id", 4) != 2))
@@ -56,7 +63,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pack, op3_repetition, op4_simhash, op6_shards, op7_bpe, op8_quality, op10_language,
+        op1_pack, op3_repetition, op4_simhash, op6_shards, op7_bpe, op8_quality, op9_hmm, op10_language,
     )
 
 }
