@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kindred.llm import bpe, hmm, language, packing, quality, repetition, sharding, simhash
+from kindred.llm import bpe, hmm, language, neighbours, packing, quality, repetition, sharding, simhash
 from kindred.llm.common import crc_fold, table
 
 
@@ -25,6 +25,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    queries = vectors.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    return neighbours.search(vectors, queries)
+
+
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -63,7 +69,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pack, op3_repetition, op4_simhash, op6_shards, op7_bpe, op8_quality, op9_hmm, op10_language,
+        op1_pack, op3_repetition, op4_simhash, op5_neighbours, op6_shards, op7_bpe, op8_quality, op9_hmm, op10_language,
     )
 
 }
