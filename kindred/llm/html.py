@@ -1,0 +1,323 @@
+"""Main text of web pages by paths that a host's pages agree on.
+
+Each page scores its containers.  Scores are votes for the containers' generalised paths of tags and classes, added
+up per host by Spark.  Pages are then read again and the text is taken from the best voted path that they have.
+"""
+
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+from html import unescape
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+
+from kindred.llm.common import slices, store
+
+# a container votes if its score reaches this share of the page's best
+VOTING = 0.5
+# a path wins if it has this share of the votes of the host's first path
+WINNING = 0.1
+# winning paths a host keeps, the most voted first
+PATHS = 8
+# a page uses a winning path if the container's own score reaches this share of the page's best
+TRUSTED = 0.3
+# levels that a path tells apart
+DEEPEST = 30
+# winners are broadcast up to so many bytes, and joined by salted hosts beyond
+BROADCAST_BYTES = 16 << 20
+SALTS = 16
+
+TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/><]*+)((?:[^>"'<]++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""", re.DOTALL
+)
+ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+RAW = frozenset("script style title textarea noscript iframe noembed noframes template xmp".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
+    "strong sub sup time tt u var wbr label output meter progress nobr blink".split()
+)
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+CANDIDATES = frozenset("body div section article main td center form blockquote".split())
+# never part of an article, whatever they hold
+OUTSIDE = frozenset("nav footer aside menu dialog button select datalist fieldset svg math canvas object audio video map".split())
+# forms and page headers may wrap a whole page
+WRAPPERS = frozenset("form header".split())
+# name parts of containers that hold no article; the second set may also name a layout around one
+BOILERPLATE = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted comment comments disqus respond "
+    "reply replies discussion share sharing social related recommended recommendations newsletter subscribe signup "
+    "breadcrumb breadcrumbs pagination pager cookie cookies consent gdpr popup modal login footer".split()
+)
+LAYOUT = frozenset("nav navbar navigation menu sidebar side rail widget widgets header masthead banner notice notices alert toolbar search form topbar".split())
+ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt", ("dl",)), "dd": ("dt", ("dl",)), "tr": ("tr", ("table",)), "td": ("td", ("tr", "table")), "th": ("td", ("tr", "table"))}
+SAME = {"dd": "dt", "th": "td"}
+
+
+@dataclass
+class Node:
+    tag: str
+    path: str
+    parent: int
+    depth: int
+    flag: int  # 0: may hold the article, 1: not unless it holds most of the page, 2: never
+    good: int = 0  # characters outside links and outside what is flagged
+    total: int = 0
+
+
+@dataclass
+class Page:
+    nodes: list[Node] = field(default_factory=list)
+    blocks: list[tuple[int, str]] = field(default_factory=list)  # node, text
+    dropped: list[bool] = field(default_factory=list)
+    scores: list[tuple[float, int]] = field(default_factory=list)  # score, node; the best first
+
+
+def _name_parts(value: str) -> list[str]:
+    return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
+
+
+def _describe(tag: str, attributes: str) -> tuple[str, int]:
+    """The tag with its generalised classes, and whether it can be part of an article."""
+    flag = 2 if tag in OUTSIDE else 1 if tag in WRAPPERS else 0
+    classes: list[str] = []
+    if attributes and not attributes.isspace():
+        for found in ATTRIBUTE.finditer(attributes):
+            name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+            if name == "class":
+                classes = sorted(set(re.sub(r"\d+", "#", c.lower()) for c in value.split()))[:4]
+            if name in ("class", "id"):
+                for word in value.split():
+                    parts = _name_parts(word)
+                    if parts and parts[0] in ("with", "has", "no", "without"):
+                        continue
+                    if not BOILERPLATE.isdisjoint(parts):
+                        flag = 2
+                    elif not LAYOUT.isdisjoint(parts):
+                        flag = max(flag, 1)
+            elif name == "role" and value.lower() in ROLES:
+                flag = max(flag, 1)
+            elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
+                flag = 2
+    return ".".join([tag, *classes]), flag
+
+
+def parse(html: str) -> Page:
+    """Blocks of text in page order, and the containers around them.
+
+    Inline tags only mark text; tags that are never closed, or closed twice, end with what is around them.
+    """
+    page = Page()
+    nodes, blocks = page.nodes, page.blocks
+    nodes.append(Node("html", "", -1, 0, 0))
+    stack = [0]
+    text: list[str] = []
+    links = linked = 0
+
+    def flush() -> None:
+        nonlocal linked
+        if text:
+            whole = " ".join(unescape("".join(text)).split())
+            if whole:
+                node = stack[-1]
+                blocks.append((node, whole))
+                size = len(whole)
+                nodes[node].total += size
+                nodes[node].good += max(0, size - linked)
+            text.clear()
+        linked = 0
+
+    at, lower = 0, None
+    while True:
+        found = TOKEN.search(html, at)
+        piece = html[at : found.start()] if found else html[at:]
+        if piece:
+            text.append(piece)
+            if links:
+                linked += len(piece)
+        if not found:
+            break
+        at = found.end()
+        if not found[2]:  # a comment or declaration
+            continue
+        tag, closing = found[2].lower(), bool(found[1])
+        if tag in RAW:
+            if not closing:
+                lower = lower or html.lower()
+                # letters that change their length in lower case would shift places
+                end = lower.find(f"</{tag}", at) if len(lower) == len(html) else re.compile(f"</{tag}", re.IGNORECASE).search(html, at)
+                end = end if isinstance(end, int) else end.start() if end else -1
+                at = len(html) if end < 0 else end
+            continue
+        if tag in INLINE:
+            if tag == "a":
+                links = 0 if closing else 1
+            continue
+        if tag == "br":
+            text.append(" ")
+            continue
+        flush()
+        if tag in VOID:
+            continue
+        links = 0
+        if closing:
+            known = SAME.get(tag, tag)
+            for i in range(len(stack) - 1, 0, -1):
+                if nodes[stack[i]].tag == known:
+                    del stack[i:]
+                    break
+            continue
+        if nodes[stack[-1]].tag == "p":
+            stack.pop()
+        if tag in CLOSES:
+            same, fence = CLOSES[tag]
+            for i in range(len(stack) - 1, 0, -1):
+                open_tag = nodes[stack[i]].tag
+                if open_tag in fence:
+                    break
+                if open_tag == same:
+                    del stack[i:]
+                    break
+        if found[3].endswith("/") and tag not in CANDIDATES:
+            continue
+        above = stack[-1]
+        name, flag = _describe(tag, found[3])
+        path = name if tag == "body" or not nodes[above].path else f"{nodes[above].path}>{name}"
+        if nodes[above].depth >= DEEPEST:
+            path = nodes[above].path
+        nodes.append(Node(SAME.get(tag, tag), path, above, nodes[above].depth + 1, flag))
+        stack.append(len(nodes) - 1)
+    flush()
+    _score(page)
+    return page
+
+
+def _score(page: Page) -> None:
+    """Which nodes are dropped, and scores of those that may hold the article: its share of the page's text, squared,
+    times the share of such text in it.  Of equal containers the innermost is first."""
+    nodes = page.nodes
+    for node in reversed(nodes[1:]):
+        nodes[node.parent].total += node.total
+    whole = nodes[0].total
+    page.dropped = [False] * len(nodes)
+    for i, node in enumerate(nodes[1:], 1):
+        article_header = node.tag == "header" and any(t in nodes[node.parent].path.split(">")[-1].split(".")[0] for t in ("article", "main"))
+        page.dropped[i] = page.dropped[node.parent] or node.flag == 2 or node.flag == 1 and node.total < 0.6 * whole and not article_header
+    for i in range(len(nodes) - 1, 0, -1):
+        if page.dropped[i]:
+            nodes[i].good = 0
+        nodes[nodes[i].parent].good += nodes[i].good
+    everything = nodes[0].good
+    if not everything:
+        return
+    found = []
+    for i, node in enumerate(nodes):
+        if node.good and (i == 0 or node.tag in CANDIDATES) and not page.dropped[i]:
+            found.append((round((node.good / everything) ** 2 * node.good / node.total, 6), node.depth, -i))
+    page.scores = [(score, -i) for score, _, i in sorted(found, reverse=True)]
+
+
+def votes(page: Page, voting: float = VOTING) -> Iterator[tuple[str, float]]:
+    """(path, weight) of the page's good containers; each path once."""
+    seen: set[str] = set()
+    for score, node in page.scores:
+        if score < voting * page.scores[0][0]:
+            break
+        path = page.nodes[node].path
+        if path not in seen:
+            seen.add(path)
+            yield path, score
+
+
+def extract(page: Page, winners: list[str] | None, trusted: float = TRUSTED) -> str:
+    """The blocks inside the containers of the first winning path that the page has, else of its own best container."""
+    if not page.scores:
+        return ""
+    best = page.scores[0]
+    chosen = {best[1]}
+    own: dict[str, list[tuple[float, int]]] = defaultdict(list)
+    for score, node in page.scores:
+        own[page.nodes[node].path].append((score, node))
+    for path in winners or ():
+        if path in own and max(s for s, _ in own[path]) >= trusted * best[0]:
+            chosen = {node for _, node in own[path]}
+            break
+    inside = [False] * len(page.nodes)
+    for i, node in enumerate(page.nodes):
+        inside[i] = i in chosen or i > 0 and inside[node.parent]
+    return "\n\n".join(text for node, text in page.blocks if inside[node] and not page.dropped[node])
+
+
+def host(url: str = "url") -> Column:
+    """The host of an address in lower case, without user and port; empty if there is none."""
+    whole = F.regexp_extract(F.lower(F.coalesce(F.col(url).cast("string"), F.lit(""))), r"^[a-z][a-z0-9+.-]*://([^/?#\\]*)", 1)
+    return F.regexp_replace(F.regexp_replace(whole, r"^.*@", ""), r":\d*$", "")
+
+
+def host_paths(pages: DataFrame, voting: float = VOTING, winning: float = WINNING, paths: int = PATHS) -> DataFrame:
+    """(host, winners): the paths that a host's pages voted for most, for all hosts of (host, html).
+
+    Votes are added up in tasks before they are shuffled, so a host with very many pages is no more work than others.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: defaultdict[tuple[str, str], float] = defaultdict(float)
+
+        def rows() -> pa.RecordBatch:
+            keys = list(sums)
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array([h for h, _ in keys], pa.string()), pa.array([p for _, p in keys], pa.string()), pa.array([sums[k] for k in keys], pa.float64())],
+                names=["host", "path", "votes"],
+            )
+            sums.clear()
+            return batch
+
+        for batch in batches:
+            for part in slices(batch, "html"):
+                for name, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
+                    for path, weight in votes(parse(html or ""), voting):
+                        sums[name, path] += weight
+                if len(sums) > 100_000:
+                    yield rows()
+        yield rows()
+
+    counted = pages.where("host <> ''").select("host", "html").mapInArrow(run, "host string, path string, votes double")
+    # votes are rounded, so that the order in which they were added does not decide
+    total = counted.groupBy("host", "path").agg(F.round(F.sum("votes"), 3).alias("votes"))
+    ranked = total.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), (-F.length("path")).alias("n"), "path"))).alias("all"))
+    best = F.filter("all", lambda x: x["v"] <= F.col("all")[0]["v"] * winning)
+    return ranked.select("host", F.transform(F.slice(best, 1, paths), lambda x: x["path"]).alias("winners"))
+
+
+def extract_pages(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(page_id, url, text, n_chars) for every row of (page_id, url, html).
+
+    ``text`` is the main text: blocks joined by an empty line, empty if there is none (also for a null or empty page).
+    Pages without a host (null or malformed url) use their own best container.  Equal rows give equal rows; other
+    columns are ignored; no rows in, no rows out.
+    """
+    rows = pages.select("page_id", "url", pages["html"].cast("string"), host().alias("host"))
+    winners, _ = store(host_paths(rows), "host-paths")
+    size = winners.agg(F.sum(F.octet_length("host") + F.aggregate("winners", F.lit(64), lambda s, p: s + F.octet_length(p)))).first()[0] or 0
+    if size <= broadcast_bytes:
+        joined = rows.join(F.broadcast(winners), "host", "left")
+    else:
+        salted = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
+    cut = joined.select("page_id", "url", "html", "winners")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "html"):
+                texts = [extract(parse(h or ""), w) for h, w in zip(part.column("html").to_pylist(), part.column("winners").to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                    names=["page_id", "url", "text", "n_chars"],
+                )
+
+    kinds = {f.name: f.dataType.simpleString() for f in cut.schema}
+    return cut.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kindred.llm import bpe, hmm, language, neighbours, packing, quality, repetition, sharding, simhash
+from kindred.llm import bpe, hmm, html, language, neighbours, packing, quality, repetition, sharding, simhash
 from kindred.llm.common import crc_fold, table
 
 
@@ -16,6 +16,10 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("ids")
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
@@ -69,7 +73,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pack, op3_repetition, op4_simhash, op5_neighbours, op6_shards, op7_bpe, op8_quality, op9_hmm, op10_language,
+        op1_pack, op2_html, op3_repetition, op4_simhash, op5_neighbours, op6_shards, op7_bpe, op8_quality, op9_hmm, op10_language,
     )
 
 }
