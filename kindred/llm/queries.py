@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kindred.llm import bpe, hmm, html, language, neighbours, packing, quality, repetition, sharding, simhash
+from kindred.llm import bpe, hmm, language, neighbours, packing, quality, repetition, sharding, simhash, webpages
 from kindred.llm.common import crc_fold, table
 
 
@@ -17,7 +17,7 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.extract_pages(table(spark, sf_dir, "pages"))
+    return webpages.extract_pages(table(spark, sf_dir, "pages"))
 
 
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
