@@ -16,6 +16,7 @@ ORDER = 3
 MAX_DOCS = 1000
 MAX_BYTES = 2 << 20
 MAX_LANGUAGES = 256
+PARTS = 32
 LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
 # bytes scored at once
@@ -115,8 +116,11 @@ def fit(docs: DataFrame, order: int = ORDER, max_docs: int = MAX_DOCS, max_bytes
         F.col("lang").cast("string"), F.col("text").cast("string"), F.xxhash64("doc_id", "text").alias("h")
     )
     keys = rows.select("lang", "h", F.octet_length("text").cast("long").alias("size")).where(F.col("size") <= max_bytes).distinct()
+    # a large language is cut down in parts before its rows meet
+    part = Window.partitionBy("lang", F.pmod("h", F.lit(PARTS))).orderBy("h")
+    first = keys.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= max_docs)
     by = Window.partitionBy("lang").orderBy("h")
-    ranked = keys.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= max_docs)
+    ranked = first.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= max_docs)
     chosen = ranked.withColumn("sum", F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("sum") <= max_bytes)
     picked = [tuple(r) for r in chosen.select("lang", "h").collect()]
     languages = sorted({lang for lang, _ in picked})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
 import numpy as np
@@ -149,8 +150,11 @@ def keep_one(docs: DataFrame, **options: int) -> DataFrame:
     found = near_duplicates(docs, **options)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
     kept = found.groupBy("group_id").agg(first)
-    keys = kept.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    same = F.col("_id").eqNullSafe(F.col("doc_id").cast("long")) & (F.col("_hash") == F.col("_text_hash"))
-    one = hashed.join(keys, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
+    # names that no column of docs can have
+    tag = uuid.uuid4().hex
+    own_id, own_hash, row_hash = f"id_{tag}", f"hash_{tag}", f"row_{tag}"
+    keys = kept.select(F.col("first.doc_id").alias(own_id), F.col("first.text_hash").alias(own_hash))
+    hashed = docs.withColumn(row_hash, F.xxhash64("text"))
+    same = F.col(own_id).eqNullSafe(F.col("doc_id").cast("long")) & (F.col(own_hash) == F.col(row_hash))
+    one = hashed.join(keys, same, "left_semi").dropDuplicates(["doc_id", row_hash])
     return one.select(*docs.columns)
