@@ -24,8 +24,8 @@ STATES = 8
 # words that are classes of their own, and classes of other words
 OWN_CLASSES = 2000
 ENDING_CLASSES = 512
-# frequent words known in every task; counts of all others are joined
-HEAD = 300_000
+# frequent words known in every task, at most; counts of all others are joined
+HEAD = 200_000
 ITERATIONS = 5
 # tokens of a stretch in training: long texts are cut there, each stretch starts anew
 STRETCH = 256
@@ -99,8 +99,18 @@ class Lexicon:
 def lexicon(counts: DataFrame, head: int = HEAD, own: int = OWN_CLASSES) -> Lexicon:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     words = counts.where(F.octet_length("token") > 0)
-    top = words.orderBy(F.desc("c"), "token").limit(head).toPandas()
-    names, c = [bytes(w) for w in top["token"]], top["c"].to_numpy(np.int64)
+    # levels of frequency, some twenty to a doubling, of which as many of the highest as fit are taken whole
+    level = F.floor(F.log2("c") * 20).cast("int")
+    fits = head
+    least = None
+    for found, n in sorted(words.groupBy(level.alias("level")).count().collect(), reverse=True):
+        fits -= n
+        if fits < 0:
+            break
+        least = found
+    top = words.where(level >= least).collect() if least is not None else []
+    top.sort(key=lambda r: (-r.c, bytes(r.token)))
+    names, c = [bytes(r.token) for r in top], np.array([r.c for r in top], np.int64)
     own = min(own, len(names))
     ending = F.pmod(F.crc32(F.expr("substring(token, -3, 3)")), F.lit(ENDING_CLASSES)).cast("int").alias("e")
     sums = words.groupBy(ending).agg(F.sum("c").alias("n"), F.sum((F.col("c") == 1).cast("long")).alias("once")).collect()
@@ -138,7 +148,7 @@ def encode(docs: DataFrame, lex: Lexicon) -> DataFrame:
         uid = TaskContext.get().partitionId() << 33
 
         def sums(values: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-            return np.bincount(row, weights=values, minlength=n)
+            return np.bincount(row, weights=values, minlength=n).astype(np.float64)
 
         for batch in batches:
             for part in slices(batch, "text"):
