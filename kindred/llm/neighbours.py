@@ -81,64 +81,83 @@ def fit(vectors: DataFrame, lists: int = LISTS, fit_rows: int = FIT_ROWS, seed:
     return index
 
 
-def scan(rotated: np.ndarray, blocks: list[slice], query: np.ndarray, limit: float, confidence: float) -> tuple[np.ndarray, np.ndarray, int]:
-    """Candidates (and squared distances) that no test dropped, and the multiplications spent.
-
-    ``limit`` is the squared distance of the worst of the best so far.  With d of D components seen, a candidate is
-    dropped when its partial distance times D / d exceeds limit * (1 + confidence / sqrt(d))^2; all components seen, when
-    it is beyond the limit.
+def scan(
+    rotated: np.ndarray, queries: np.ndarray, limits: np.ndarray, block_dims: int = BLOCK_DIMS, confidence: float = CONFIDENCE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Pairs (query, candidate) that no test dropped, their squared distances, and the pairs of components compared.
+
+    ``limits`` holds, for each query, the squared distance of the worst of its best so far.  With d of D components seen,
+    a pair is dropped when its partial distance times D / d exceeds limit * (1 + confidence / sqrt(d))^2; with all of
+    them seen, when it is beyond the limit.  While many pairs are left a block is one matrix product for all; once few
+    are, only those go on.
     """
-    alive, partial, seen, work = np.arange(len(rotated)), np.zeros(len(rotated)), 0, 0
     width = rotated.shape[1]
+    blocks = [slice(s, min(s + block_dims, width)) for s in range(0, width, block_dims)]
+    far = np.zeros((len(queries), len(rotated)))
+    q = x = None
+    work = 0
     for block in blocks:
-        step = (rotated[:, block] if len(alive) == len(rotated) else rotated[alive, block]) - query[block]
-        work += step.size
-        partial = partial + np.einsum("ij,ij->i", step, step)
+        mine, theirs = queries[:, block], rotated[:, block]
+        if q is None:
+            far += np.einsum("ij,ij->i", mine, mine)[:, None] + np.einsum("ij,ij->i", theirs, theirs) - 2 * (mine @ theirs.T)
+            work += far.size * mine.shape[1]
+        else:
+            step = mine[q] - theirs[x]
+            far = far + np.einsum("ij,ij->i", step, step)
+            work += step.size
         seen = block.stop
-        bound = limit * (1 + 1e-9) if seen == width else limit * seen / width * (1 + confidence / np.sqrt(seen)) ** 2
-        fit = partial <= bound
-        if not fit.all():
-            alive, partial = alive[fit], partial[fit]
-        if not len(alive):
-            break
-    return alive, partial, work
-
-
-def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    return np.lexsort((ids, -score))[:k]
+        bound = limits * (1 + 1e-9) + 1e-9 if seen == width else limits * seen / width * (1 + confidence / np.sqrt(seen)) ** 2
+        if q is None:
+            alive = far <= bound[:, None]
+            if seen == width or np.count_nonzero(alive) < 0.1 * alive.size:
+                q, x = np.nonzero(alive)
+                far = far[q, x]
+        else:
+            fit = far <= bound[q]
+            q, x, far = q[fit], x[fit], far[fit]
+    return q, x, far, work
 
 
 def search_part(
-    part: pd.DataFrame, asked: pd.DataFrame, index: Index, k: int, block_dims: int = BLOCK_DIMS, confidence: float = CONFIDENCE, chunk: int = 1024
+    part: pd.DataFrame, asked: pd.DataFrame, index: Index, k: int, block_dims: int = BLOCK_DIMS, confidence: float = CONFIDENCE,
+    chunk: int = 1024, batch: int = 256,
 ) -> pd.DataFrame:
     """The best ``k`` of one part of a list for each query, with exact inner products in double precision."""
     out: list[pd.DataFrame] = []
     if len(part) and len(asked):
-        vectors = np.stack(part["embedding"].to_numpy()).astype(np.float64)
-        ids = part["vec_id"].to_numpy()
+        vectors, ids = np.stack(part["embedding"].to_numpy()).astype(np.float64), part["vec_id"].to_numpy()
         rotated = index.fill(vectors)
-        width = rotated.shape[1]
-        blocks = [slice(s, min(s + block_dims, width)) for s in range(0, width, block_dims)]
-        queries = np.stack(asked["embedding"].to_numpy()).astype(np.float64)
-        turned = index.ask(queries)
-        for query, spin, query_id in zip(queries, turned, asked["query_id"].to_numpy(), strict=True):
-            limit, best_id, best_score = np.inf, np.zeros(0, ids.dtype), np.zeros(0)
-            base = float(query @ query) + index.longest
-            for at in range(0, len(ids), chunk):
-                alive, _, _ = scan(rotated[at : at + chunk], blocks, spin, limit, confidence)
-                alive = alive + at
-                alive = alive[ids[alive] != query_id]
-                if not len(alive):
-                    continue
-                score = np.concatenate([best_score, (vectors[alive] * query).sum(axis=1)])
-                both = np.concatenate([best_id, ids[alive]])
-                top = _best(score, both, k)
-                best_id, best_score = both[top], score[top]
-                if len(top) == k:
-                    # a hair more than the last, so that equals with smaller ids are still seen
-                    limit = max(base - 2 * best_score[-1], 0.0) * (1 + 1e-9) + 1e-12
-            if len(best_id):
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": best_id, "score": best_score}))
+        for at in range(0, len(asked), batch):
+            own = asked.iloc[at : at + batch]
+            queries, names = np.stack(own["embedding"].to_numpy()).astype(np.float64), own["query_id"].to_numpy()
+            turned = index.ask(queries)
+            base = np.einsum("ij,ij->i", queries, queries) + index.longest
+            limits = np.full(len(own), np.inf)
+            row, best_id, best = np.zeros(0, np.int64), np.zeros(0, ids.dtype), np.zeros(0)
+            for start in range(0, len(ids), chunk):
+                q, x, far, _ = scan(rotated[start : start + chunk], turned, limits, block_dims, confidence)
+                if start == 0 and len(ids) > 2 * k:
+                    # nothing is known yet: of each query's first chunk only the k nearest, with ties and itself, matter
+                    table = far.reshape(len(own), -1)
+                    if table.shape[1] > k + 1:
+                        last = np.partition(table, k, axis=1)[:, k]
+                        fit = far <= last[q] * (1 + 1e-9) + 1e-9
+                        q, x = q[fit], x[fit]
+                x = x + start
+                other = ids[x] != names[q]
+                q, x = q[other], x[other]
+                score = np.concatenate([best, (vectors[x] * queries[q]).sum(axis=1)])
+                row, best_id = np.concatenate([row, q]), np.concatenate([best_id, ids[x]])
+                order = np.lexsort((best_id, -score, row))
+                row = row[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                kept = order[place < k]
+                row, best_id, best = row[place < k], best_id[kept], score[kept]
+                full = np.flatnonzero(np.bincount(row, minlength=len(own)) == k)
+                ends = np.searchsorted(row, full, side="right") - 1
+                # a hair more than the last, so that equals with smaller ids are still seen
+                limits[full] = np.maximum(base[full] - 2 * best[ends], 0)
+            out.append(pd.DataFrame({"query_id": names[row], "vec_id": best_id, "score": best}))
     return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
 
 
