@@ -24,7 +24,7 @@ WINNING = 0.1
 # winning paths a host keeps, the most voted first
 PATHS = 8
 # a page uses a winning path if the container's own score reaches this share of the page's best
-TRUSTED = 0.3
+TRUSTED = 0.05
 # levels that a path tells apart
 DEEPEST = 30
 # winners are broadcast up to so many bytes, and joined by salted hosts beyond
@@ -222,15 +222,15 @@ def _score(page: Page) -> None:
 
 
 def votes(page: Page, voting: float = VOTING) -> Iterator[tuple[str, float]]:
-    """(path, weight) of the page's good containers; each path once."""
+    """(path, weight) of the page's good containers, the best with its score, others with half of theirs; each path once."""
     seen: set[str] = set()
     for score, node in page.scores:
         if score < voting * page.scores[0][0]:
             break
         path = page.nodes[node].path
         if path not in seen:
+            yield path, score / 2 if seen else score
             seen.add(path)
-            yield path, score
 
 
 def extract(page: Page, winners: list[str] | None, trusted: float = TRUSTED) -> str:
