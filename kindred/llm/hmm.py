@@ -29,7 +29,7 @@ HEAD = 200_000
 ITERATIONS = 5
 # tokens of a stretch in training: long texts are cut there, each stretch starts anew
 STRETCH = 256
-# stretches on which the first states are found
+# texts on whose beginnings the first states are found
 SEEDS = 2000
 # distinct words a task counts before it sends them on
 FLUSH = 500_000
@@ -288,12 +288,14 @@ def first_chain(sample: list[np.ndarray], n_classes: int, states: int, seed: int
 def train(encoded: DataFrame, n_classes: int, states: int = STATES, iterations: int = ITERATIONS, seed: int = 11) -> Chain:
     """Baum-Welch over all rows of ``encoded``; expected counts are added up in tasks, then by Spark, and only sums return.
 
-    The starting point comes from SEEDS stretches, one of each of that many texts in order of a hash.
+    The starting point comes from the beginnings of some SEEDS texts (less than twice as many), chosen by a hash.
     """
     spark = encoded.sparkSession
     data = encoded.select("classes")
-    picked = encoded.select("classes", F.xxhash64("uid").alias("h")).orderBy("h").limit(SEEDS)
-    sample = [np.frombuffer(r.part, "<u2") for r in picked.select(F.expr(f"substring(classes, 1, {2 * STRETCH})").alias("part")).collect()]
+    every = max(1, data.count() // SEEDS)
+    part = F.expr(f"substring(classes, 1, {2 * STRETCH})").alias("part")
+    picked = encoded.where(F.pmod(F.xxhash64("uid"), F.lit(every)) == 0).select("uid", part).collect()
+    sample = [np.frombuffer(r.part, "<u2") for r in sorted(picked, key=lambda r: r.uid)]
     chain = first_chain(sample, n_classes, states, seed)
     k = states
     for _ in range(iterations):
