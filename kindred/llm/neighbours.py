@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kindred.llm.common import store
 
-# vectors on which the lists' centres are fitted, at most
+# vectors on which the lists' centres are fitted, or up to twice as many
 FIT_ROWS = 20_000
 LISTS = 32
 PROBES = 26
@@ -56,10 +56,10 @@ def usable(column: str) -> Column:
 def fit(vectors: DataFrame, lists: int = LISTS, fit_rows: int = FIT_ROWS, seed: int = 5, rounds: int = 12) -> Index | None:
     """An index of (vec_id, embedding), usable vectors of one length; None if there are none.
 
-    The longest vector is found among all rows; centres come from k-means on at most ``fit_rows`` rows, the first in order
-    of a hash of id and vector.
+    The longest vector is found among all rows; centres come from k-means on some ``fit_rows`` rows (less than twice as
+    many), chosen by a hash of id and vector.
     """
-    sizes = vectors.agg(F.max(F.size("embedding")).alias("d"), F.min(F.size("embedding")).alias("e"), F.max(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)).alias("m")).first()
+    sizes = vectors.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d"), F.min(F.size("embedding")).alias("e"), F.max(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)).alias("m")).first()
     if sizes.d is None:
         return None
     if sizes.d != sizes.e:
@@ -67,7 +67,8 @@ def fit(vectors: DataFrame, lists: int = LISTS, fit_rows: int = FIT_ROWS, seed:
     rng = np.random.default_rng(seed)
     rotation, _ = np.linalg.qr(rng.standard_normal((sizes.d + 1, sizes.d + 1)))
     index = Index(sizes.m * (1 + 1e-12), rotation, np.zeros((1, sizes.d + 1)))
-    sample = vectors.select("embedding", F.xxhash64("vec_id", "embedding").alias("h")).orderBy("h").limit(fit_rows).select("embedding").toPandas()
+    every = max(1, sizes.n // fit_rows)
+    sample = vectors.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(every)) == 0).select("embedding").toPandas()
     points = index.fill(np.stack(sample["embedding"].to_numpy()).astype(np.float64))
     points = np.unique(points, axis=0)
     centres = points[rng.choice(len(points), min(lists, len(points)), replace=False)]
