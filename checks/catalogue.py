@@ -18,6 +18,7 @@ from kindred.sources.catalogue import clean
 
 TOP_N_BRANDS = 10
 TOP_N_COLORS = 5
+N_CELLS = 8
 
 # Read by both engines: it makes the input, it does not check anything.
 RAW_SQL = """
@@ -110,6 +111,7 @@ def build(spark: SparkSession, sf_dir: str, path: str) -> SearchIndex:
         image_vectors=vectors.select("uniq_id", "image_vector"),
         top_n_brands=TOP_N_BRANDS,
         top_n_colors=TOP_N_COLORS,
+        n_cells=N_CELLS,
     )
 
 

@@ -229,6 +229,16 @@ from (select query_id, candidate_id, c.rank as stage1, {overlap(text('q.'), text
 for kind in ("short", "long"):
     STEPS[f"{kind}_image"] = "select query_id, candidate_id, score, rank from cand_image"
 
+STEPS["near_all_centers"] = """
+select vec_id, cast(embedding as double[]) as v, cell,
+  list_dot_product(cast(embedding as double[]), c) - list_dot_product(c, c) / 2 as closeness
+from embeddings cross join (select vec_id as cell, cast(embedding as double[]) as c from embeddings where vec_id < 16) x"""
+STEPS["used_centers"] = """
+select distinct cell from (select cell, row_number() over (partition by vec_id order by closeness desc, cell) as place
+  from near_all_centers) y where place = 1"""
+STEPS["near_centers"] = """
+select vec_id, v, cell, row_number() over (partition by vec_id order by closeness desc, cell) as place
+from near_all_centers join used_centers using (cell)"""
 STEPS["requests"] = """
 select event_id as request_id, cast(user_id * 7 as varchar) as product_id,
   case when event_type = 'error' and user_id % 5 = 0 then 0
@@ -241,13 +251,17 @@ STEPS["checked"] = """
 select request_id, product_id, num_similar, mode,
   case when num_similar <= 0 then 422
        when product_id not in (select uniq_id from clean) then 404
-       when num_similar > (select count(*) - 1 from clean) then 400
-       when mode not in ('text_structured', 'image', 'combined') then 422 else 200 end as status,
+       when mode not in ('text_structured', 'image', 'combined') then 422
+       when mode = 'image' and product_id not in (select uniq_id from dense_image) then 404
+       when num_similar > (case when mode = 'image' then (select count(*) - 1 from dense_image) else (select count(*) - 1 from clean) end)
+         then 400 else 200 end as status,
   case when num_similar <= 0 then 'num_similar must be above 0'
        when product_id not in (select uniq_id from clean) then 'product not found'
-       when num_similar > (select count(*) - 1 from clean)
-         then 'num_similar exceeds maximum (' || (select count(*) - 1 from clean) || ')'
-       when mode not in ('text_structured', 'image', 'combined') then 'mode not available' else 'ok' end as reason
+       when mode not in ('text_structured', 'image', 'combined') then 'mode not available'
+       when mode = 'image' and product_id not in (select uniq_id from dense_image) then 'product has no vector in this mode'
+       when num_similar > (case when mode = 'image' then (select count(*) - 1 from dense_image) else (select count(*) - 1 from clean) end)
+         then 'num_similar exceeds maximum (' || (case when mode = 'image' then (select count(*) - 1 from dense_image)
+           else (select count(*) - 1 from clean) end) || ')' else 'ok' end as reason
 from requests"""
 
 
@@ -358,6 +372,23 @@ def _queries() -> dict[str, str]:
         on a.query_id = r.product_id and a.rank <= r.num_similar where status = 200 and mode = '{m}'"""
         for m in ("text_structured", "image", "combined")
     )
+    q["request_counts"] = "select request_id, num_similar, cast(num_similar as bigint) as n_rows from checked where status = 200"
+    q["request_details"] = " union all ".join(
+        f"""select request_id, a.rank, candidate_id, {fields} from checked r join short_{m} a
+        on a.query_id = r.product_id and a.rank <= r.num_similar join clean on uniq_id = candidate_id
+        where status = 200 and mode = '{m}'"""
+        for m in ("text_structured", "image", "combined")
+    )
+    q["product_lookup"] = f"""select product_id, case when uniq_id is null then 404 else 200 end as status,
+      case when uniq_id is null then 'product not found' else 'ok' end as reason, {fields}
+      from requests left join clean on uniq_id = product_id"""
+    q["recommend_ivf_all_cells"] = q["recommend_ids"]
+    q["knn_ivf_given_centers"] = """
+      select query_id, candidate_id, score, rank from (
+        select *, row_number() over (partition by query_id order by score desc, candidate_id) as rank from (
+          select p.vec_id as query_id, i.vec_id as candidate_id, round(list_dot_product(p.v, i.v), 6) as score
+          from near_centers p join near_centers i on i.cell = p.cell and i.place = 1 where p.place <= 4))
+      where rank <= 10"""
     q["availability"] = """select count(*) as products_indexed, 'text_structured,image,combined' as available_modes from clean"""
     q["product_card"] = "select uniq_id, product_name, brand, sales_price, rating, color, categories, image_url from clean"
     q["recall_at_k"] = """select e.query_id, count(a.candidate_id) / 10e0 as recall

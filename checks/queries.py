@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from checks.catalogue import (
     TOP_N_BRANDS, TOP_N_COLORS, documents, product_vectors, products, raw_catalogue, search_index, table,
 )
-from kindred.config import HYBRID_MODES, MODES
+from kindred.config import HYBRID_MODES, MODES, Search
 from kindred.functions import clean as c, text as t, vectors as v
 from kindred.operators import profile
 from kindred.operators.ann import CellIndex, ivf_topk, lsh_topk
@@ -24,7 +25,7 @@ from kindred.operators.sample import first_middle_last, seeded_sample
 from kindred.plans import recommend as r
 from kindred.plans.build import availability as index_availability
 from kindred.plans.compare import compare_engines
-from kindred.plans.requests import answer, request_status as status_of
+from kindred.plans.requests import answer, answer_detailed, product_lookup as lookup, request_status as status_of
 from kindred.session import scratch_path, stored
 from kindred.sources.artifacts import SearchIndex
 from kindred.sources.catalogue import product_card as card
@@ -280,6 +281,15 @@ def knn_ivf(spark, sf_dir):
     return ivf_topk(queries, cells, 10, nprobe=4)
 
 
+@query
+def knn_ivf_given_centers(spark, sf_dir):
+    """Centres taken from the rows with the first ids, so that SQL can make the same cells and probe some of them."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("candidate_id"), F.col("embedding").alias("vector"))
+    centers = np.array([r["vector"] for r in rows.where("candidate_id < 16").orderBy("candidate_id").collect()], dtype=float)
+    cells = CellIndex.around(rows, scratch_path(spark, "given"), centers)
+    return ivf_topk(rows.withColumnRenamed("candidate_id", "query_id"), cells, 10, nprobe=4)
+
+
 @query
 def knn_lsh_candidates(spark, sf_dir):
     items = search_index(spark, sf_dir).dense["text_structured"]
@@ -354,6 +364,17 @@ def recommend_ids(spark, sf_dir):
     )
 
 
+@query
+def recommend_ivf_all_cells(spark, sf_dir):
+    index = search_index(spark, sf_dir)
+    return union(
+        [
+            r.recommend(all_products(index), index, 10, m, search=Search("ivf", index.cells[m].n_cells)).withColumn("mode", F.lit(m))
+            for m in MODES
+        ]
+    )
+
+
 @query
 def recommend_detailed(spark, sf_dir):
     index = search_index(spark, sf_dir)
@@ -402,6 +423,25 @@ def request_answers(spark, sf_dir):
     return answer(requests(spark, sf_dir), search_index(spark, sf_dir))
 
 
+@query
+def request_counts(spark, sf_dir):
+    """How many answers each valid request has; it must be as many as it asks for."""
+    asked, index = requests(spark, sf_dir), search_index(spark, sf_dir)
+    valid = status_of(asked, index).where("status = 200").select("request_id", "num_similar")
+    rows = answer(asked, index).groupBy("request_id").agg(F.count("*").alias("n"))
+    return valid.join(rows, "request_id", "left").select("request_id", "num_similar", F.coalesce("n", F.lit(0).cast("long")).alias("n_rows"))
+
+
+@query
+def request_details(spark, sf_dir):
+    return answer_detailed(requests(spark, sf_dir), search_index(spark, sf_dir))
+
+
+@query
+def product_lookup(spark, sf_dir):
+    return lookup(requests(spark, sf_dir), search_index(spark, sf_dir))
+
+
 @query
 def availability(spark, sf_dir):
     found = index_availability(search_index(spark, sf_dir))

@@ -23,6 +23,21 @@ MODES = ("text_structured", "image", "combined")
 HYBRID_MODES = ("text_structured", "combined")
 
 
+@dataclass(frozen=True)
+class Search:
+    """How dense neighbours are found: exactly, or among the items of the ``nprobe`` nearest cells."""
+
+    kind: str = "exact"
+    nprobe: int = 16
+
+    def __post_init__(self):
+        if self.kind not in ("exact", "ivf") or self.nprobe < 1:
+            raise ValueError(f"unknown search {self}")
+
+
+EXACT = Search()
+
+
 @dataclass(frozen=True)
 class Limits:
     """Size bounds that choose between physical strategies.

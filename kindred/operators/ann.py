@@ -15,6 +15,7 @@ from kindred.operators.dense import CellStats, assign_cells, learn_cells, meet_i
 from kindred.operators.topk import top_k
 
 NO_FLOOR = float("-inf")
+EMPTY = "candidate_id string, vector array<float>, spread double, cell int"
 
 
 @dataclass(frozen=True)
@@ -36,9 +37,13 @@ class CellIndex:
         vector: str = "vector",
         seed: int = 42,
     ) -> "CellIndex":
-        spark = items.sparkSession
         source = items.select(F.col(item_id).alias("candidate_id"), F.col(vector).alias("vector"))
-        centers = learn_cells(source, n_cells, seed)
+        return CellIndex.around(source, path, learn_cells(source, n_cells, seed))
+
+    @staticmethod
+    def around(source: DataFrame, path: str, centers: np.ndarray) -> "CellIndex":
+        """Items (candidate_id, vector) in the cells of given centres."""
+        spark = source.sparkSession
         assign_cells(source, centers).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/items")
         spark.createDataFrame(
             [(i, [float(x) for x in c]) for i, c in enumerate(centers)], "cell int, center array<double>"
@@ -48,9 +53,9 @@ class CellIndex:
     @staticmethod
     def read(spark: SparkSession, path: str) -> "CellIndex":
         centers = spark.read.parquet(f"{path}/centers").orderBy("cell").collect()
-        return CellIndex(
-            spark.read.parquet(f"{path}/items"), np.array([r["center"] for r in centers])
-        )
+        # without items there is no partition to infer anything from
+        items = spark.read.parquet(f"{path}/items") if centers else spark.createDataFrame([], EMPTY)
+        return CellIndex(items, np.array([r["center"] for r in centers]))
 
     @property
     def n_cells(self) -> int:

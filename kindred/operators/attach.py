@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.feature import HashingTF, IDF, Normalizer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -24,12 +25,29 @@ def attach_vectors(
     ``make_predict()`` loads the model, once per Python worker, and returns a
     function from a batch of inputs to a matrix with ``dim`` columns.
     """
-    predict = predict_batch_udf(make_predict, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+
+
+    def make_masked():
+        predict = make_predict()
+
+        def masked(inputs: np.ndarray) -> np.ndarray:
+            # the model sees no null; those rows get any vector here and the zero vector later
+            present = np.array([x is not None and x == x for x in inputs], bool)
+            out = np.zeros((len(inputs), dim), np.float32)
+            if present.any():
+                found = np.asarray(predict(inputs[present]), np.float32)
+                if found.shape[1] != dim:
+                    return np.zeros((len(inputs), found.shape[1]), np.float32)
+                out[present] = found
+            return out
+
+        return masked
+
+    predict = predict_batch_udf(make_masked, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
-    present = df.where(F.col(source).isNotNull())
-    absent = df.where(F.col(source).isNull())
-    predicted = present.withColumn(output, floats(l2_normalize(checked(predict(F.col(source)), dim))))
-    return predicted.unionByName(absent.withColumn(output, zero))
+    predicted = df.withColumn(output, predict(F.col(source)))
+    unit = floats(l2_normalize(checked(F.col(output), dim)))
+    return predicted.withColumn(output, F.when(F.col(source).isNull(), zero).otherwise(unit))
 
 
 def attach_text_vectors(df: DataFrame, text: str, make_predict, dim: int = TEXT_DIM, **kw) -> DataFrame:

@@ -68,18 +68,21 @@ def best_columns(
     return columns, scores
 
 
-def best_in_row(scores: np.ndarray, k: int, decimals: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best columns with a score other than 0 of one query, best first, and their scores."""
-    unit, n = 10.0**decimals, len(scores)
+def best_in_row(units: np.ndarray, k: int, step: int, unit: float) -> tuple[np.ndarray, np.ndarray]:
+    """The k best columns with a score other than 0 of one query, best first, and their scores.
+
+    ``units`` are whole numbers, ``step`` of them to one unit of the rounded score, of which ``unit`` make a score of 1.
+    """
+    n = len(units)
     if n > k:
         # only scores that could round to the k-th best one are worth rounding
-        reached = np.partition(scores, n - k)[n - k]
-        columns = np.flatnonzero((scores >= reached - 1.0 / unit) & (scores != 0))
+        reached = np.partition(units, n - k)[n - k]
+        columns = np.flatnonzero((units >= reached - step) & (units != 0))
     else:
-        columns = np.flatnonzero(scores)
-    rounded = np.floor(scores[columns] * unit + 0.5)
+        columns = np.flatnonzero(units)
+    rounded = (units[columns] + step // 2) // step
     columns, rounded = columns[rounded != 0], rounded[rounded != 0]
-    keys = rounded.astype(np.int64) * n + (n - 1 - columns)
+    keys = rounded * n + (n - 1 - columns)
     if len(columns) > k:
         top = np.argpartition(keys, len(keys) - k)[len(keys) - k :]
         columns, rounded, keys = columns[top], rounded[top], keys[top]

@@ -20,8 +20,6 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -229,18 +227,52 @@ def meet_in_cells(
     return _exploded(hits)
 
 
-def learn_cells(items: DataFrame, n_cells: int, seed: int = 42) -> np.ndarray:
-    """Centres of ``n_cells`` k-means cells, learned on a bounded number of rows.
+def learn_cells(items: DataFrame, n_cells: int, seed: int = 42, rounds: int = 10) -> np.ndarray:
+    """Centres of at most ``n_cells`` k-means cells of (candidate_id, vector), learned on all rows.
 
-    The rows used only shape the cells; every item is assigned to one later.
+    It starts from the different vectors that come first in order of a hash of their ids, and each round adds up vectors
+    in tasks, so the order and layout of the rows do not matter.  ``n_cells`` vectors come to the driver a round.
     """
-    rows = items.select(array_to_vector("vector").alias("features"))
-    size = rows.count()
-    wanted = 256 * n_cells
-    if size > wanted:
-        rows = rows.sample(wanted / size, seed=seed)
-    model = KMeans(k=max(2, n_cells), seed=seed, maxIter=10).fit(rows)
-    return np.array(model.clusterCenters())
+    spark = items.sparkSession
+    order = F.xxhash64(F.col("candidate_id").cast("string"), F.lit(seed))
+    firsts = items.groupBy("vector").agg(F.min(F.struct(order.alias("h"), "candidate_id")).alias("first"))
+    start = firsts.orderBy("first").limit(n_cells).select("vector").collect()
+    centers = np.array([r["vector"] for r in start], dtype=np.float64)
+    if not len(centers):
+        return np.zeros((0, 0))
+    dim = centers.shape[1]
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast(centers)
+
+        def add(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            c = shared.value
+            half = (c * c).sum(axis=1) / 2
+            sums, rows = np.zeros(c.shape), np.zeros(len(c), dtype=np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    v = blocks.matrix(batch.column("vector"))
+                    cell = np.argmax(v @ c.T - half, axis=1)
+                    np.add.at(sums, cell, v)
+                    rows += np.bincount(cell, minlength=len(c))
+            used = np.flatnonzero(rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used.astype(np.int32)), pa.array(rows[used]), pa.array(list(sums[used]), pa.list_(pa.float64()))],
+                names=["cell", "n", "sums"],
+            )
+
+        parts = items.select("vector").mapInArrow(add, "cell int, n long, sums array<double>")
+        # rounded, so that the order of the tasks does not show
+        total = parts.select("cell", "n", F.posexplode("sums")).groupBy("cell", "pos").agg(
+            F.sum("n").alias("n"), F.round(F.sum("col"), 9).alias("s")
+        )
+        found = total.toPandas()
+        new = centers.copy()
+        new[found["cell"], found["pos"]] = found["s"] / found["n"]
+        shared.unpersist()
+        if np.array_equal(new, centers):
+            break
+        centers = new
+    return centers
 
 
 def assign_cells(items: DataFrame, centers: np.ndarray) -> DataFrame:

@@ -172,8 +172,10 @@ def bm25_topk(
     )
     load = per_term.agg(F.sum("pairs").alias("pairs"), F.min("low").alias("low"), F.sum("df").alias("df")).first()
     pairs, low = load["pairs"] or 0, load["low"] or 0.0
-    # what the postings of all query terms, copies included, would take in a task
-    posting_bytes = 48 * (load["df"] or 0)
+    # what the postings of all query terms, copies included, take on the driver: each has its term, its id and numbers
+    widest = index.documents.agg(F.max(F.octet_length(F.col("doc_id").cast("string")))).first()[0] or 0
+    term_bytes = per_term.agg(F.sum((F.octet_length("term") + 8) * F.col("df") + 200)).first()[0] or 0
+    posting_bytes = (32 + 2 * widest) * (load["df"] or 0) + term_bytes
     if low < 0:
         scored = _score_all(terms, index, pairs, decimals, limits)
         ranked = _rank_around_zero(_with_copies(scored, index, None), index.n_docs, k)
@@ -229,11 +231,26 @@ def _salted(terms: DataFrame, postings: DataFrame, pairs: int, limits: Limits) -
     return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
 
 
+# every weight is a whole number of these units: whole numbers add up alike in any order and in every plan
+UNITS = 10**12
+
+
+def _units(factor: Column | str, tfw: Column | str) -> Column:
+    """The weight of a query term in a document, in units."""
+    return F.floor(F.col(factor) * F.col(tfw) * F.lit(float(UNITS)) + 0.5).cast("long")
+
+
 def _summed(matches: DataFrame, decimals: int) -> DataFrame:
-    """Scores of (bag, document) pairs, rounded; pairs that sum to 0 are left out."""
+    """Scores of (bag, document) pairs, rounded half up; pairs that sum to 0 are left out."""
+    step = UNITS // 10**decimals
+    total = F.sum(_units("factor", "tfw"))
+    # floor division of whole numbers
+    rounded = F.expr(f"total + {step // 2}")
+    whole = (rounded - F.pmod(rounded, F.lit(step))) / F.lit(step)
     return (
         matches.groupBy("bag_id", "doc_id")
-        .agg(F.round(F.sum(F.col("factor") * F.col("tfw")), decimals).alias("score"))
+        .agg(total.alias("total"))
+        .select("bag_id", "doc_id", (whole / F.lit(float(10**decimals))).alias("score"))
         .where("score != 0")
     )
 
@@ -254,8 +271,8 @@ def _rank_in_tasks(
     wanted = terms.select("term").distinct()
     postings = index.postings.select("term", "doc_id", "tfw").join(wanted, "term", "left_semi")
     # at most limits.broadcast_bytes
-    table = _with_copies(postings, index, k).select("term", "doc_id", "tfw").toArrow()
-    table = table.combine_chunks().sort_by("term")
+    table = _with_copies(postings, index, k).select("term", "doc_id", "tfw")
+    table = table.toArrow().combine_chunks().sort_by("term")
     words = table["term"].combine_chunks()
     starts = np.flatnonzero(np.concatenate([[True], pc.not_equal(words[1:], words[:-1]).to_numpy(False)]))
     ends = np.append(starts[1:], len(words))
@@ -286,23 +303,24 @@ def _rank_in_tasks(
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span, places, tfw, ids = shared.value
         n = len(ids)
+        unit = float(UNITS)
         whole: dict[str, np.ndarray] = {}  # frequent terms as one weight per document
         for batch in batches:
             found_places, found_scores, lengths = [], [], []
             for bag in batch.column("terms").to_pylist():
-                scores = np.zeros(n)
+                scores = np.zeros(n, dtype=np.int64)
                 for entry in bag:
                     term, factor = entry["term"], entry["factor"]
                     start, end = span[term]
                     # a document occurs once per term, so plain indexing adds up
                     if 8 * (end - start) < n:
-                        scores[places[start:end]] += factor * tfw[start:end]
+                        scores[places[start:end]] += np.floor(factor * tfw[start:end] * unit + 0.5).astype(np.int64)
                         continue
                     if term not in whole:
                         whole[term] = np.zeros(n)
                         whole[term][places[start:end]] = tfw[start:end]
-                    scores += factor * whole[term]
-                columns, best = blocks.best_in_row(scores, k, decimals)
+                    scores += np.floor(factor * whole[term] * unit + 0.5).astype(np.int64)
+                columns, best = blocks.best_in_row(scores, k, UNITS // 10**decimals, 10.0**decimals)
                 found_places.append(columns)
                 found_scores.append(best)
                 lengths.append(len(columns))
@@ -317,6 +335,14 @@ def _rank_in_tasks(
     return bags.repartition(tasks).mapInArrow(search, schema)
 
 
+def _sliced(terms: DataFrame, heaviest: DataFrame) -> DataFrame:
+    """Query terms with the few heaviest postings of each: a term of very many queries is dealt over several keys."""
+    slices = 16
+    left = terms.withColumn("slice", F.pmod(F.xxhash64("bag_id"), F.lit(slices)))
+    right = heaviest.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
+    return left.join(right, ["term", "slice"])
+
+
 def _score_pruned(
     terms: DataFrame, index: LexicalIndex, pairs: int, k: int, decimals: int, limits: Limits
 ) -> DataFrame:
@@ -328,7 +354,7 @@ def _score_pruned(
     # scores sure to be reached: sums over the k heaviest postings of each term
     heaviest = rank_by(postings, ["term"], [F.desc("tfw"), F.asc("doc_id")], k, "nth")
     sure = (
-        terms.join(heaviest, "term")
+        _sliced(terms, heaviest)
         .groupBy("bag_id", "doc_id")
         .agg(F.sum(F.col("factor") * F.col("tfw")).alias("sum"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kindred.config import TOP_N_BRANDS, TOP_N_COLORS
 from kindred.functions import vectors as v
 from kindred.functions.text import lexical_text
+from kindred.operators.ann import CellIndex
 from kindred.operators.attach import is_present
 from kindred.operators.encode import StructuredEncoder, StructuredModel
 from kindred.operators.lexical import build_lexical
@@ -47,9 +48,13 @@ def build_index(
     top_n_colors: int = TOP_N_COLORS,
     encoder: StructuredModel | None = None,
     purged: DataFrame | None = None,
+    n_cells: int | None = None,
 ) -> SearchIndex:
     """Write every table of an index.
 
+    ``n_cells`` also writes each mode's vectors in so many k-means cells, for approximate search; about the square root of
+    the number of products is a good number.
+
     ``text_vectors`` is (uniq_id, text_vector), ``image_vectors`` (uniq_id,
     image_vector) with zero vectors, or no row, for missing images.  A fitted
     ``encoder`` is reused as it is.
@@ -63,17 +68,20 @@ def build_index(
         encoder = StructuredEncoder(top_n_brands, top_n_colors).fit(products)
     encoder.write(spark, f"{path}/encoder")
 
+    _check_vectors(products, text_vectors, "text_vector", required=True)
     structured = encoder.transform(products).select("uniq_id", "structured")
     vectors = structured.join(text_vectors, "uniq_id")
     if image_vectors is not None:
-        dim = image_vectors.select(F.size("image_vector").alias("n")).first()
-        zero = F.array_repeat(F.lit(0.0).cast("float"), dim["n"] if dim else 0)
+        dim = _check_vectors(products, image_vectors, "image_vector", required=False)
+        zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
         vectors = vectors.join(image_vectors, "uniq_id", "left").withColumn(
             "image_vector", F.coalesce("image_vector", zero)
         )
     vectors = write_table(vectors, f"{path}/vectors")
     for mode in ("text_structured",) if image_vectors is None else ("text_structured", "image", "combined"):
-        write_table(mode_vectors(vectors, mode), f"{path}/dense/{mode}")
+        dense = write_table(mode_vectors(vectors, mode), f"{path}/dense/{mode}")
+        if n_cells:
+            CellIndex.build(dense, f"{path}/cells/{mode}", n_cells, item_id="uniq_id")
     build_lexical(with_lexical_text(products), f"{path}/lexical")
     if purged is not None:
         write_table(purged, f"{path}/purged")
@@ -81,6 +89,22 @@ def build_index(
     return open_index(spark, path)
 
 
+def _check_vectors(products: DataFrame, vectors: DataFrame, name: str, required: bool) -> int:
+    """The length of all vectors; an error for products without one (if ``required``), repeated ids and other lengths."""
+    found = vectors.agg(F.min(F.size(name)).alias("least"), F.max(F.size(name)).alias("most"), F.count_if(F.col(name).isNull()).alias("nulls")).first()
+    if found["nulls"] or found["least"] != found["most"]:
+        raise ValueError(f"{name}: {found['nulls']} nulls, lengths from {found['least']} to {found['most']}")
+    twice = duplicate_ids(vectors).first()
+    if twice:
+        raise ValueError(f"{name}: id {twice['uniq_id']!r} occurs {twice['count']} times")
+    if required:
+        without = products.join(vectors.select("uniq_id"), "uniq_id", "left_anti").select("uniq_id").orderBy("uniq_id")
+        ids = [r["uniq_id"] for r in without.limit(10).collect()]
+        if ids:
+            raise ValueError(f"{name}: products without a vector, among them {', '.join(map(repr, ids))}")
+    return found["most"] or 0
+
+
 def purge_index(index: SearchIndex, path: str) -> SearchIndex:
     """a new index without the products that have no image; the encoder is not fitted again."""
     kept = kept_ids(index.vectors)
@@ -92,6 +116,7 @@ def purge_index(index: SearchIndex, path: str) -> SearchIndex:
         image_vectors=vectors.select("uniq_id", "image_vector"),
         encoder=index.encoder,
         purged=index.purged.unionByName(purged_ids(index.vectors)),
+        n_cells=max((c.n_cells for c in index.cells.values()), default=None),
     )
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kindred.config import CANDIDATE_DEPTH, HYBRID_MODES, LIMITS, RERANK_DEPTH, Limits
+from kindred.config import CANDIDATE_DEPTH, EXACT, HYBRID_MODES, LIMITS, RERANK_DEPTH, Limits, Search
 from kindred.functions.text import long_pair_text, short_pair_text
+from kindred.operators.ann import ivf_topk
 from kindred.operators.dense import exact_topk
 from kindred.operators.fusion import rrf
 from kindred.operators.lexical import bm25_topk
@@ -23,13 +24,21 @@ def depth_for(n: int) -> int:
 
 
 def dense_candidates(
-    queries: DataFrame, index: SearchIndex, mode: str, depth: int, limits: Limits = LIMITS
+    queries: DataFrame, index: SearchIndex, mode: str, depth: int, limits: Limits = LIMITS, search: Search = EXACT
 ) -> DataFrame:
-    """Ranked dense neighbours of the query products, the products themselves included."""
+    """Ranked dense neighbours of the query products, the products themselves included.
+
+    Approximate lists may be shorter than ``depth`` where the probed cells hold fewer items.
+    """
     if mode not in index.dense:
         raise ValueError(f"mode {mode!r} is not available: {index.modes}")
     items = index.dense[mode]
     asked = items.join(queries.select(F.col("query_id").alias("uniq_id")), "uniq_id", "left_semi")
+    if search.kind == "ivf":
+        if mode not in index.cells:
+            raise ValueError(f"the index has no cells for mode {mode!r}: build it with n_cells")
+        asked = asked.select(F.col("uniq_id").alias("query_id"), "vector")
+        return ivf_topk(asked, index.cells[mode], depth, search.nprobe, limits=limits)
     return exact_topk(asked, items, depth, query_id="uniq_id", item_id="uniq_id", limits=limits)
 
 
@@ -49,6 +58,7 @@ def candidates(
     depth: int = CANDIDATE_DEPTH,
     limits: Limits = LIMITS,
     first: int | None = None,
+    search: Search = EXACT,
 ) -> DataFrame:
     """(query_id, candidate_id, score, rank), the query product dropped, ranks closed.
 
@@ -64,13 +74,13 @@ def candidates(
             return ranked
         return ranked.join(queries.select(*keys), "query_id").where(F.col("rank") <= F.col("depth"))
 
-    ranked = cut(dense_candidates(queries, index, mode, depth, limits))
+    ranked = cut(dense_candidates(queries, index, mode, depth, limits, search))
     if mode in HYBRID_MODES and index.lexical is not None:
         sparse = cut(lexical_candidates(queries, index, depth, limits))
         # one more than wanted, as the query product may be among them; the bound on
         # fused scores needs dense lists at least that long
         keep = None if first is None else min(first + 1, depth)
-        if keep is not None and index.dense[mode].count() < keep:
+        if keep is not None and (search.kind != "exact" or index.dense[mode].count() < keep):
             keep = None
         ranked = rrf(ranked, sparse, depth=depth, keys=keys, keep=keep)
         if "depth" in keys:
@@ -102,9 +112,10 @@ def _stage_two(
     text: Column,
     scorer: PairScorer,
     limits: Limits,
+    search: Search,
 ) -> DataFrame:
     used = max(RERANK_DEPTH, n) if mode in HYBRID_MODES else n
-    found = candidates(queries, index, mode, depth_for(n), limits, first=used)
+    found = candidates(queries, index, mode, depth_for(n), limits, first=used, search=search)
     first = found.where(F.col("rank") <= used)
     if mode not in HYBRID_MODES:
         return first
@@ -119,13 +130,14 @@ def recommend(
     mode: str = "text_structured",
     scorer: PairScorer = TOKEN_OVERLAP,
     limits: Limits = LIMITS,
+    search: Search = EXACT,
 ) -> DataFrame:
     """The n most similar products per query: (query_id, rank, candidate_id).
 
     Query ids that are not in the catalogue give no rows; ``requests.answer``
     reports them.
     """
-    ranked = _stage_two(queries, index, n, mode, short_text(), scorer, limits)
+    ranked = _stage_two(queries, index, n, mode, short_text(), scorer, limits, search)
     return ranked.select("query_id", "rank", "candidate_id")
 
 
@@ -136,13 +148,14 @@ def recommend_detailed(
     mode: str = "text_structured",
     scorer: PairScorer = TOKEN_OVERLAP,
     limits: Limits = LIMITS,
+    search: Search = EXACT,
 ) -> DataFrame:
     """Scored candidates with their product fields.
 
     ``score`` is higher-is-better in every mode; ``score_kind`` says whether it is
     a pair score or a cosine.
     """
-    ranked = _stage_two(queries, index, n, mode, long_text(), scorer, limits)
+    ranked = _stage_two(queries, index, n, mode, long_text(), scorer, limits, search)
     fields = index.products.select(
         F.col("uniq_id").alias("candidate_id"), "product_name", "brand", "sales_price", "rating", "image_url"
     )

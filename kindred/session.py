@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -47,10 +48,13 @@ def ship_package(spark: SparkSession) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors, as named by ``spark.checkpoint.dir``.
 
-    A local folder is chosen only where the session names none.
+    A session that names none gets a temporary one if it runs in one process; on a cluster, where executors would not see
+    one another's folders, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="kindred-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -5,6 +5,7 @@
     encoder/         fitted encoder state (S4)
     lexical/         BM25 postings and statistics (S5)
     dense/<mode>/    uniq_id and its fused vector per search mode (S6)
+    cells/<mode>/    the same in k-means cells, for approximate search (S6)
     purged/          uniq_id and reason of purged products (S8)
 """
 
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from kindred.config import MODES
+from kindred.operators.ann import CellIndex
 from kindred.operators.encode import StructuredModel
 from kindred.operators.lexical import LexicalIndex
 from kindred.session import path_exists
@@ -32,6 +34,7 @@ class SearchIndex:
     lexical: LexicalIndex | None
     encoder: StructuredModel
     purged: DataFrame
+    cells: dict[str, CellIndex]
 
     @property
     def modes(self) -> list[str]:
@@ -65,6 +68,9 @@ def open_index(spark: SparkSession, path: str) -> SearchIndex:
         purged=table("purged")
         if path_exists(spark, f"{path}/purged")
         else spark.createDataFrame([], PURGED_SCHEMA),
+        cells={
+            m: CellIndex.read(spark, f"{path}/cells/{m}") for m in MODES if path_exists(spark, f"{path}/cells/{m}/centers")
+        },
     )
 
 

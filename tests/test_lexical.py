@@ -1,8 +1,10 @@
 import math
 import random
 from collections import Counter
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from kindred.config import Limits
 from kindred.operators.lexical import bm25_topk, build_lexical
@@ -78,3 +80,20 @@ def test_negative_scores_rank_behind_unmatched_documents(spark, limits):
     queries = {"q": "a z", "q2": "b"}
     for k in (3, 8):
         close(run(spark, docs, queries, k, limits), brute(docs, queries, k))
+
+
+def test_plans_agree_on_scores_of_half_a_unit(spark):
+    """Weights made so that sums end in half a unit of the rounded score: every plan must round them alike."""
+    n = 400
+    docs = {f"d{i:03d}": f"t{i} common" for i in range(n)}
+    index = build_lexical(spark.createDataFrame(list(docs.items()), "uniq_id string, text string"), scratch_path(spark, "half"))
+    number = F.regexp_extract("doc_id", r"d(\d+)", 1).cast("int")
+    # idf 1 and weights of odd halves
+    postings = index.postings.withColumn("tfw", F.when(F.col("term") == "common", (2 * number + 1) / 2e6).otherwise(F.col("tfw")))
+    terms = index.terms.withColumn("idf", F.lit(1.0)).withColumn("max_tfw", F.lit(10.0))
+    fixed = replace(index, postings=postings, terms=terms)
+    queries = spark.createDataFrame([("a", "common"), ("b", "common common"), ("c", "common t7 t8")], "query_id string, text string")
+    found = [
+        sorted(tuple(r) for r in bm25_topk(queries, fixed, 50, limits=limits).collect()) for limits in (DIRECT, IN_TASKS, PRUNED)
+    ]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 150
