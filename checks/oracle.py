@@ -229,6 +229,10 @@ from (select query_id, candidate_id, c.rank as stage1, {overlap(text('q.'), text
 for kind in ("short", "long"):
     STEPS[f"{kind}_image"] = "select query_id, candidate_id, score, rank from cand_image"
 
+STEPS["modelled"] = f"""
+select uniq_id, case when cast(uniq_id as bigint) % 7 = 0 then [0e0, 0e0, 0e0]
+  else cast(cast({unit('[len(product_name), 2e0 * len(product_name), len(product_name) + 3e0]')} as float[]) as double[]) end as v
+from clean"""
 STEPS["near_all_centers"] = """
 select vec_id, cast(embedding as double[]) as v, cell,
   list_dot_product(cast(embedding as double[]), c) - list_dot_product(c, c) / 2 as closeness
@@ -389,6 +393,14 @@ def _queries() -> dict[str, str]:
           select p.vec_id as query_id, i.vec_id as candidate_id, round(list_dot_product(p.v, i.v), 6) as score
           from near_centers p join near_centers i on i.cell = p.cell and i.place = 1 where p.place <= 4))
       where rank <= 10"""
+    q["recommend_nested_rows"] = " union all ".join(
+        f"""select '{m}' as mode, query_id, rank, candidate_id, round(score, 9) as score, product_name, brand
+        from long_{m} join clean on uniq_id = candidate_id where rank <= 5"""
+        for m in ("text_structured", "image", "combined")
+    )
+    q["encoder_roundtrip"] = q["onehot_assemble"]
+    q["ndjson_catalogue"] = q["clean_catalogue"]
+    q["model_vectors"] = elements("modelled", "v")
     q["availability"] = """select count(*) as products_indexed, 'text_structured,image,combined' as available_modes from clean"""
     q["product_card"] = "select uniq_id, product_name, brand, sales_price, rating, color, categories, image_url from clean"
     q["recall_at_k"] = """select e.query_id, count(a.candidate_id) / 10e0 as recall

@@ -14,9 +14,9 @@ from kindred.config import HYBRID_MODES, MODES, Search
 from kindred.functions import clean as c, text as t, vectors as v
 from kindred.operators import profile
 from kindred.operators.ann import CellIndex, ivf_topk, lsh_topk
-from kindred.operators.attach import count_present, hashed_text_vectors
+from kindred.operators.attach import attach_text_vectors, count_present, hashed_text_vectors
 from kindred.operators.dense import exact_topk
-from kindred.operators.encode import NUMERIC, StructuredEncoder
+from kindred.operators.encode import NUMERIC, StructuredEncoder, StructuredModel
 from kindred.operators.evaluate import jaccard_at_k, percentile_summary, recall_at_k
 from kindred.operators.fusion import rrf
 from kindred.operators.lexical import LexicalIndex, bm25_topk, build_lexical
@@ -28,7 +28,7 @@ from kindred.plans.compare import compare_engines
 from kindred.plans.requests import answer, answer_detailed, product_lookup as lookup, request_status as status_of
 from kindred.session import scratch_path, stored
 from kindred.sources.artifacts import SearchIndex
-from kindred.sources.catalogue import product_card as card
+from kindred.sources.catalogue import load_and_clean, product_card as card
 
 STRING = T.StringType()
 Query = Callable[[SparkSession, str], DataFrame]
@@ -269,6 +269,40 @@ def _cells(spark, sf_dir, n_cells: int) -> tuple[DataFrame, CellIndex]:
     return items.select(F.col("uniq_id").alias("query_id"), "vector"), cells
 
 
+@query
+def encoder_roundtrip(spark, sf_dir):
+    rows, model = fitted(spark, sf_dir)
+    path = scratch_path(spark, "encoder")
+    model.write(spark, path)
+    return elements(StructuredModel.read(spark, path).transform(rows), F.col("structured"))
+
+
+@query
+def model_vectors(spark, sf_dir):
+    """Vectors of a stand-in for a model: the length of the name, and that times 2 and plus 3; no name, no vector."""
+
+    def load():
+        def predict(names: np.ndarray) -> np.ndarray:
+            n = np.array([len(x) for x in names], np.float32)
+            return np.stack([n, 2 * n, n + 3], axis=1)
+
+        return predict
+
+    # a seventh of the products has no name here
+    named = products(spark, sf_dir).select(
+        "uniq_id", F.when(F.col("uniq_id").cast("long") % 7 != 0, F.col("product_name")).alias("name")
+    )
+    return elements(attach_text_vectors(named, "name", load, dim=3), F.col("text_vector"))
+
+
+@query
+def ndjson_catalogue(spark, sf_dir):
+    """The raw catalogue written as JSON lines, read back and cleaned."""
+    path = scratch_path(spark, "ndjson")
+    raw_catalogue(spark, sf_dir).write.json(path)
+    return load_and_clean(spark, path)
+
+
 @query
 def knn_ivf_all_cells(spark, sf_dir):
     queries, cells = _cells(spark, sf_dir, 8)
@@ -394,6 +428,23 @@ def recommend_nested(spark, sf_dir):
     return r.recommend_nested(all_products(index), index, 5, "image")
 
 
+@query
+def recommend_nested_rows(spark, sf_dir):
+    """The nested answers of all modes, one row per similar product."""
+    index = search_index(spark, sf_dir)
+    return union(
+        [
+            r.recommend_nested(all_products(index), index, 5, mode).select(
+                "mode", F.col("query_product.uniq_id").alias("query_id"), F.inline("similar_products")
+            ).select(
+                "mode", "query_id", "rank", F.col("uniq_id").alias("candidate_id"), rounded("similarity_score", 9).alias("score"),
+                "product_name", "brand",
+            )
+            for mode in MODES
+        ]
+    )
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per event: frequent users repeat theirs, and some are invalid."""
     kind, user = F.col("event_type"), F.col("user_id")

@@ -1,21 +1,26 @@
+import os
+import subprocess
+import sys
+from dataclasses import replace
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from checks.catalogue import build, search_index
-from kindred.config import Limits
+from checks.catalogue import build, products, search_index
+from kindred.config import Limits, Search
 from kindred.operators.ann import CellIndex, ivf_topk, lsh_topk
-from kindred.operators.dense import exact_topk
+from kindred.operators.dense import exact_topk, learn_cells
 from kindred.operators.evaluate import jaccard_at_k, percentile_summary, recall_at_k
 from kindred.operators.fusion import rrf
 from kindred.operators.rerank import TOKEN_OVERLAP, model_scorer, rerank
 from kindred.plans import recommend as r
-from kindred.plans.build import availability, load_or_build, purge_index
+from kindred.plans.build import availability, build_index, load_or_build, purge_index
 from kindred.plans.compare import compare_engines, compare_modes
-from kindred.plans.requests import answer, request_status
-from kindred.session import scratch_path
+from kindred.plans.requests import answer, product_lookup, request_status
+from kindred.session import scratch_path, scratch_root
 from kindred.sources.artifacts import has_index, open_index, read_purged, write_measurements
-from dataclasses import replace
 
 
 @pytest.fixture(scope="module")
@@ -236,3 +241,94 @@ def test_mode_measurements(spark, index):
     path = scratch_path(spark, "measured")
     write_measurements(found, path)
     assert spark.read.json(path).count() == 6
+
+
+# --- nothing is lost without a word -------------------------------------------------------
+
+
+def small_catalogue(spark, sf_dir, n=12):
+    rows = products(spark, sf_dir).where(F.col("uniq_id").cast("int").between(1, n))
+    ids = rows.select("uniq_id")
+    vector = lambda i, dim: [float((int(i) * (j + 3)) % 7 + 1) for j in range(dim)]
+    names = [r["uniq_id"] for r in ids.collect()]
+    text = spark.createDataFrame([(i, vector(i, 4)) for i in names], "uniq_id string, text_vector array<float>")
+    image = spark.createDataFrame([(i, vector(i, 3) if i != "3" else [0.0] * 3) for i in names], "uniq_id string, image_vector array<float>")
+    return rows, text, image
+
+
+def test_build_rejects_what_it_would_lose(spark, sf_dir):
+    rows, text, image = small_catalogue(spark, sf_dir)
+    path = scratch_path(spark, "rejected")
+    with pytest.raises(ValueError, match="products without a vector, among them '5'"):
+        build_index(rows, text.where("uniq_id <> '5'"), path, image)
+    with pytest.raises(ValueError, match="text_vector: id '5' occurs 2 times"):
+        build_index(rows, text.union(text.where("uniq_id = '5'")), path, image)
+    with pytest.raises(ValueError, match="image_vector: id '4' occurs 2 times"):
+        build_index(rows, text, path, image.union(image.where("uniq_id = '4'")))
+    short = spark.createDataFrame([("99", [1.0])], "uniq_id string, image_vector array<float>")
+    with pytest.raises(ValueError, match="lengths from 1 to 3"):
+        build_index(rows, text, path, image.union(short))
+
+
+def test_requests_a_mode_cannot_answer(spark, sf_dir):
+    rows, text, image = small_catalogue(spark, sf_dir)
+    index = build_index(rows, text, scratch_path(spark, "small"), image.where("uniq_id <> '4'"), n_cells=3)
+    asked = [("a", "3", 2, "image"), ("b", "4", 2, "image"), ("c", "1", 9, "image"), ("d", "1", 10, "image"), ("e", "3", 11, "combined"), ("f", "3", 12, "combined")]
+    requests = spark.createDataFrame(asked, "request_id string, product_id string, num_similar int, mode string")
+    status = {s.request_id: (s.status, s.reason) for s in request_status(requests, index).collect()}
+    assert {k: v[0] for k, v in status.items()} == {"a": 404, "b": 404, "c": 200, "d": 400, "e": 200, "f": 400}
+    assert status["a"][1] == "product has no vector in this mode" and "(9)" in status["d"][1]
+    answers = lists(answer(requests, index).withColumnRenamed("request_id", "query_id"))
+    assert {k: len(v) for k, v in answers.items()} == {"c": 9, "e": 11}
+    near = lists(answer(requests, index, search=Search("ivf", 3)).withColumnRenamed("request_id", "query_id"))
+    assert near == answers
+
+
+def test_lookup_tells_unknown_from_purged(spark, purged):
+    gone = purged.purged.first()["uniq_id"]
+    ids_ = spark.createDataFrame([("1",), ("1",), (gone,), ("nope",), (None,)], "product_id string")
+    found = sorted((str(x.product_id), x.status, x.reason) for x in product_lookup(ids_, purged).collect())
+    assert [x[:2] for x in found] == sorted([("1", 200), ("1", 200), (gone, 404), ("nope", 404), ("None", 404)])
+    assert "purged" in dict((a, c) for a, _, c in found)[gone]
+
+
+def test_search_names():
+    with pytest.raises(ValueError):
+        Search("nearly")
+
+
+def test_cells_do_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(8)
+    items = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 5)))], "candidate_id long, vector array<float>")
+    one, other = learn_cells(items.repartition(1), 6), learn_cells(items.repartition(7, "candidate_id"), 6)
+    assert len(one) == 6 and np.allclose(one, other, atol=1e-6)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
+
+
+def test_runs_from_another_folder(tmp_path, sf_dir):
+    """The executors get the package from the driver, wherever the application starts."""
+    root = Path(__file__).resolve().parents[1]
+    code = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("rows", e.queries()["knn_embeddings"](spark, {sf_dir!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows" in done.stdout, done.stderr[-2000:]
