@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 
 from kindred.llm.common import map_slices
 
-# words, and runs of words, whose ids a worker remembers, in each of two generations: some 300 MB at most
-REMEMBERED = 400_000
+# words, and runs of words, whose ids a worker remembers, in each of two generations: some 150 MB at most
+REMEMBERED = 200_000
 
 
 # these separate words for str.split, but are no white space to the pattern
