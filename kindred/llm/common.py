@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from kindred.session import scratch_path
 
 # bytes of text that a kernel holds at once, unless one row alone is longer
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # most rows a kernel holds at once
 SLICE_ROWS = 4096
 
