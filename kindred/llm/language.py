@@ -9,14 +9,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from kindred.llm.common import map_slices
+from kindred.llm.common import map_slices, store
 
 ORDER = 3
 # labelled documents and bytes of text a language learns from, and most languages: they bound the model
 MAX_DOCS = 1000
 MAX_BYTES = 2 << 20
 MAX_LANGUAGES = 256
-PARTS = 32
+# steps of the hash by which a language is thinned
+FINE = 1 << 40
 LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
 # bytes scored at once
@@ -116,18 +117,22 @@ def fit(docs: DataFrame, order: int = ORDER, max_docs: int = MAX_DOCS, max_bytes
         F.col("lang").cast("string"), F.col("text").cast("string"), F.xxhash64("doc_id", "text").alias("h")
     )
     keys = rows.select("lang", "h", F.octet_length("text").cast("long").alias("size")).where(F.col("size") <= max_bytes).distinct()
-    # a large language is cut down in parts before its rows meet
-    part = Window.partitionBy("lang", F.pmod("h", F.lit(PARTS))).orderBy("h")
-    first = keys.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= max_docs)
-    by = Window.partitionBy("lang").orderBy("h")
+    keys, _ = store(keys, "labelled")
+    counts = {r["lang"]: r["count"] for r in keys.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"the model is bounded to {MAX_LANGUAGES} languages")
+    if not counts:
+        return None
+    # a large language is thinned by the hash before its rows meet: some twice as many as wanted are left
+    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(FINE, 2 * max_docs * FINE // n + 1))))
+    first = keys.where(F.pmod("h", F.lit(FINE)) < share[F.col("lang")])
+    by = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(FINE)), "h")
     ranked = first.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= max_docs)
     chosen = ranked.withColumn("sum", F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("sum") <= max_bytes)
     picked = [tuple(r) for r in chosen.select("lang", "h").collect()]
     languages = sorted({lang for lang, _ in picked})
     if not languages:
         return None
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the model is bounded to {MAX_LANGUAGES}")
     number = {lang: i for i, lang in enumerate(languages)}
     sample = F.broadcast(spark.createDataFrame(picked, "lang string, h long"))
     texts = rows.join(sample, ["lang", "h"]).dropDuplicates(["lang", "h"])
