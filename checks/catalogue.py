@@ -8,6 +8,8 @@ of exact copies occur.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kindred.functions.vectors import floats, l2_normalize
@@ -97,9 +99,14 @@ def product_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def own_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A path of this application for tables made from ``sf_dir``."""
+    folder = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:16]
+    return f"{scratch_root(spark)}/kindred/{spark.sparkContext.applicationId}/{name}-{folder}"
+
+
 def index_path(spark: SparkSession, sf_dir: str) -> str:
-    name = sf_dir.rstrip("/").split("/")[-1]
-    return f"{scratch_root(spark)}/kindred/{spark.sparkContext.applicationId}/index-{name}"
+    return own_path(spark, sf_dir, "index")
 
 
 def build(spark: SparkSession, sf_dir: str, path: str) -> SearchIndex:

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from checks.catalogue import (
-    TOP_N_BRANDS, TOP_N_COLORS, documents, product_vectors, products, raw_catalogue, search_index, table,
+    TOP_N_BRANDS, TOP_N_COLORS, documents, own_path, product_vectors, products, raw_catalogue, search_index, table,
 )
 from kindred.config import HYBRID_MODES, MODES, Search
 from kindred.functions import clean as c, text as t, vectors as v
@@ -26,7 +26,7 @@ from kindred.plans import recommend as r
 from kindred.plans.build import availability as index_availability
 from kindred.plans.compare import compare_engines
 from kindred.plans.requests import answer, answer_detailed, product_lookup as lookup, request_status as status_of
-from kindred.session import scratch_path, stored
+from kindred.session import path_exists, scratch_path, stored
 from kindred.sources.artifacts import SearchIndex
 from kindred.sources.catalogue import load_and_clean, product_card as card
 
@@ -333,8 +333,11 @@ def knn_lsh_candidates(spark, sf_dir):
 
 
 def _document_index(spark, sf_dir) -> LexicalIndex:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    return build_lexical(docs, scratch_path(spark, "documents"), doc_id="doc_id")
+    """Built by the first query of an application, opened by the others; the corpus numbers are written last."""
+    path = own_path(spark, sf_dir, "documents")
+    if not path_exists(spark, f"{path}/corpus/_SUCCESS"):
+        build_lexical(documents(spark, sf_dir).select("doc_id", "text"), path, doc_id="doc_id")
+    return LexicalIndex.read(spark, path)
 
 
 @query

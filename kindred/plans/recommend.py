@@ -59,13 +59,15 @@ def candidates(
     limits: Limits = LIMITS,
     first: int | None = None,
     search: Search = EXACT,
+    sparse: DataFrame | None = None,
 ) -> DataFrame:
     """(query_id, candidate_id, score, rank), the query product dropped, ranks closed.
 
     Hybrid modes fuse dense and lexical lists and give the fused score; image mode
     gives the cosine.  Where ``queries`` has a column ``depth``, none above
     ``depth``, each query uses lists of its own depth, and the result has that
-    column too.  ``first`` says that only so many per query will be used.
+    column too.  ``first`` says that only so many per query will be used; ``sparse``
+    gives lexical lists of these queries, and perhaps others, that were made before.
     """
     keys = [name for name in ("query_id", "depth") if name in queries.columns]
 
@@ -76,7 +78,7 @@ def candidates(
 
     ranked = cut(dense_candidates(queries, index, mode, depth, limits, search))
     if mode in HYBRID_MODES and index.lexical is not None:
-        sparse = cut(lexical_candidates(queries, index, depth, limits))
+        sparse = cut(lexical_candidates(queries, index, depth, limits) if sparse is None else sparse)
         # one more than wanted, as the query product may be among them; the bound on
         # fused scores needs dense lists at least that long
         keep = None if first is None else min(first + 1, depth)
