@@ -332,7 +332,7 @@ def knn_lsh_candidates(spark, sf_dir):
     return lsh_topk(queries, items.withColumnRenamed("uniq_id", "candidate_id"), 10, dim, 0.25, 4)
 
 
-def _document_index(spark, sf_dir) -> LexicalIndex:
+def document_index(spark, sf_dir) -> LexicalIndex:
     """Built by the first query of an application, opened by the others; the corpus numbers are written last."""
     path = own_path(spark, sf_dir, "documents")
     if not path_exists(spark, f"{path}/corpus/_SUCCESS"):
@@ -342,19 +342,19 @@ def _document_index(spark, sf_dir) -> LexicalIndex:
 
 @query
 def corpus_stats(spark, sf_dir):
-    return _document_index(spark, sf_dir).terms.select("term", "df", rounded("idf").alias("idf"))
+    return document_index(spark, sf_dir).terms.select("term", "df", rounded("idf").alias("idf"))
 
 
 @query
 def corpus_totals(spark, sf_dir):
-    index = _document_index(spark, sf_dir)
+    index = document_index(spark, sf_dir)
     return spark.createDataFrame([(index.n_docs, round(index.avgdl, 6))], "n_docs long, avgdl double")
 
 
 @query
 def bm25_topk_documents(spark, sf_dir):
     passages = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return bm25_topk(passages, _document_index(spark, sf_dir), 10)
+    return bm25_topk(passages, document_index(spark, sf_dir), 10)
 
 
 REGISTRY["bm25_topk"] = REGISTRY.pop("bm25_topk_documents")
