@@ -15,7 +15,7 @@ CATEGORICAL = ("brand", "color", "delivery_type")
 BINARY = ("is_prime", "is_bestseller")
 OTHER = "Other"
 
-# A one-hot vector over more values than this is an input error.
+# A one-hot vector over more values than this is an input error unless the encoder is told otherwise.
 MAX_VOCABULARY = 10_000
 
 NUMERIC_SCHEMA = "feature string, median double, minimum double, maximum double"
@@ -52,11 +52,16 @@ def top_values(df: DataFrame, limits_per_column: dict[str, int]) -> DataFrame:
 
 @dataclass
 class StructuredEncoder:
-    """Learns medians, ranges and vocabularies."""
+    """Learns medians, ranges and vocabularies.
+
+    ``max_vocabulary`` bounds the values of a one-hot feature, which come to the driver and widen every vector; more
+    delivery types than that are an error, not cut off.
+    """
 
     top_n_brands: int = TOP_N_BRANDS
     top_n_colors: int = TOP_N_COLORS
     limits: Limits = field(default=LIMITS)
+    max_vocabulary: int = MAX_VOCABULARY
 
     def fit(self, products: DataFrame) -> "StructuredModel":
         medians = exact_median(products, list(NUMERIC), self.limits)
@@ -68,7 +73,7 @@ class StructuredEncoder:
         wanted = {
             "brand": self.top_n_brands,
             "color": self.top_n_colors,
-            "delivery_type": MAX_VOCABULARY + 1,
+            "delivery_type": self.max_vocabulary + 1,
         }
         # bounded: at most the wanted number of values per feature
         kept = top_values(products, wanted).collect()
@@ -82,8 +87,8 @@ class StructuredEncoder:
             if covered < ranges["rows"]:
                 # a product outside the top values, or without one, falls in the bucket
                 values.add("None" if name == "delivery_type" else OTHER)
-            if len(values) > MAX_VOCABULARY:
-                raise ValueError(f"{name} has more than {MAX_VOCABULARY} values")
+            if len(values) > self.max_vocabulary:
+                raise ValueError(f"{name} has more than {self.max_vocabulary} values")
             vocabulary[name] = sorted(values)
         return StructuredModel(numeric, vocabulary, top)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from os.path import commonprefix
+
 from pyspark.sql import DataFrame, functions as F
 
 from kindred.config import LIMITS, Limits
+from kindred.session import stored
 
 
 def seeded_sample(df: DataFrame, n: int, key: str = "uniq_id", seed: int = 42) -> DataFrame:
@@ -16,11 +19,14 @@ def seeded_sample(df: DataFrame, n: int, key: str = "uniq_id", seed: int = 42) -
 def nth_id(df: DataFrame, position: int, key: str = "uniq_id", limits: Limits = LIMITS) -> str | None:
     """The id at a 0-based position in ascending order, without sorting the table.
 
-    Counts per leading characters say which prefix holds the position; it grows
-    until few enough ids share it.
+    Counts per leading characters say which prefix holds the position; it starts from
+    the one that all ids share and grows until few enough ids share it.  The ids are
+    read from ``df`` once.
     """
-    ids = df.select(F.col(key).cast("string").alias("id"))
-    prefix, left = "", position
+    ids = stored(df.select(F.col(key).cast("string").alias("id")).where("id is not null"), "ids")
+    ends = ids.agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
+    # what the least and the greatest id share, all ids between them do
+    prefix, left = commonprefix([ends["low"] or "", ends["high"] or ""]), position
     while True:
         inside = ids.where(F.startswith("id", F.lit(prefix)))
         step = F.substring("id", len(prefix) + 1, 1)

@@ -87,3 +87,8 @@ def test_quantiles_equal_numpy(spark, bound):
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, ["x"], [0.5]) == {"x": [None]}
+
+
+def test_vocabulary_bound_is_an_argument(spark, table):
+    with pytest.raises(ValueError, match="more than 1 values"):
+        StructuredEncoder(max_vocabulary=1).fit(table)
