@@ -147,7 +147,11 @@ def keep_one(docs: DataFrame, **options: int) -> DataFrame:
     It is the row with the group's smallest doc_id, and of rows with that id the one with the smallest text hash and
     fingerprint; groups in which no row has an id keep one row without.  Of wholly repeated rows one stays.
     """
-    found = near_duplicates(docs, **options)
+    return keep_first(docs, near_duplicates(docs, **options))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The first row of ``docs`` of each group in ``found`` (doc_id, text_hash, group_id), in the order of ``keep_one``."""
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
     kept = found.groupBy("group_id").agg(first)
     # names that no column of docs can have
