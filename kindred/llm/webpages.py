@@ -1,7 +1,8 @@
 """Main text of web pages by paths that a host's pages agree on.
 
 Each page scores its containers.  Scores are votes for the containers' generalised paths of tags and classes, added
-up per host by Spark.  Pages are then read again and the text is taken from the best voted path that they have.
+up per host by Spark.  Pages are then read again and the text is taken from the one of their paths that most of the
+pages with that path agree on.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from kindred.llm.common import slices, store
 
 # a container votes if its score reaches this share of the page's best
 VOTING = 0.5
-# a path wins if it has this share of the votes of the host's first path
+# a path wins if so many pages agree on it (second choices count half), or if it has this share of the votes of the
+# host's first path
+SUPPORT = 3
 WINNING = 0.1
-# winning paths a host keeps, the most voted first
-PATHS = 8
 # a page uses a winning path if the container's own score reaches this share of the page's best
 TRUSTED = 0.05
 # levels that a path tells apart
@@ -233,6 +234,11 @@ def votes(page: Page, voting: float = VOTING) -> Iterator[tuple[str, float]]:
             seen.add(path)
 
 
+def trusted_paths(page: Page, trusted: float = TRUSTED) -> set[str]:
+    """Paths of the page's containers whose score reaches a share of its best."""
+    return {page.nodes[node].path for score, node in page.scores if score >= trusted * page.scores[0][0]}
+
+
 def extract(page: Page, winners: list[str] | None, trusted: float = TRUSTED) -> str:
     """The blocks inside the containers of the first winning path that the page has, else of its own best container."""
     if not page.scores:
@@ -258,39 +264,79 @@ def host(url: str = "url") -> Column:
     return F.regexp_replace(F.regexp_replace(whole, r"^.*@", ""), r":\d*$", "")
 
 
-def host_paths(pages: DataFrame, voting: float = VOTING, winning: float = WINNING, paths: int = PATHS) -> DataFrame:
-    """(host, winners): the paths that a host's pages voted for most, for all hosts of (host, html).
+def _order() -> Column:
+    """Winning paths with support by their share of the pages that have them, then others by votes."""
+    supported = F.col("wins") >= SUPPORT
+    share = F.when(supported, F.round(-F.col("wins") / F.col("n"), 6)).otherwise(-F.col("votes"))
+    return F.struct((~supported).alias("weak"), share.alias("share"), (-F.col("votes")).alias("votes"), (-F.length("path")).alias("length"), F.col("path"))
+
+
+def path_votes(pages: DataFrame, voting: float = VOTING, winning: float = WINNING) -> DataFrame:
+    """(host, path, order): every path with enough support on its host, for all hosts of (host, html).
 
-    Votes are added up in tasks before they are shuffled, so a host with very many pages is no more work than others.
+    Votes are added up in tasks before they are shuffled, and no group holds the paths of a host, so a host with very
+    many pages or paths is no more work than others.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: defaultdict[tuple[str, str], float] = defaultdict(float)
+        sums: defaultdict[tuple[str, str], list[float]] = defaultdict(lambda: [0.0, 0.0, 0])
 
         def rows() -> pa.RecordBatch:
             keys = list(sums)
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in keys], pa.string()), pa.array([p for _, p in keys], pa.string()), pa.array([sums[k] for k in keys], pa.float64())],
-                names=["host", "path", "votes"],
-            )
+            columns = [pa.array([h for h, _ in keys], pa.string()), pa.array([p for _, p in keys], pa.string())]
+            columns += [pa.array([sums[k][i] for k in keys], kind) for i, kind in enumerate((pa.float64(), pa.float64(), pa.int64()))]
             sums.clear()
-            return batch
+            return pa.RecordBatch.from_arrays(columns, names=["host", "path", "votes", "wins", "n"])
 
         for batch in batches:
             for part in slices(batch, "html"):
                 for name, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
-                    for path, weight in votes(parse(html or ""), voting):
-                        sums[name, path] += weight
-                if len(sums) > 100_000:
-                    yield rows()
+                    page = parse(html or "")
+                    for path in {page.nodes[node].path for _, node in page.scores}:
+                        sums[name, path][2] += 1
+                    for i, (path, weight) in enumerate(votes(page, voting)):
+                        own = sums[name, path]
+                        own[0] += weight
+                        own[1] += 0.5 if i else 1
+                    if len(sums) > 50_000:
+                        yield rows()
         yield rows()
 
-    counted = pages.where("host <> ''").select("host", "html").mapInArrow(run, "host string, path string, votes double")
+    counted = pages.where("host <> ''").select("host", "html").mapInArrow(run, "host string, path string, votes double, wins double, n long")
     # votes are rounded, so that the order in which they were added does not decide
-    total = counted.groupBy("host", "path").agg(F.round(F.sum("votes"), 3).alias("votes"))
-    ranked = total.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), (-F.length("path")).alias("n"), "path"))).alias("all"))
-    best = F.filter("all", lambda x: x["v"] <= F.col("all")[0]["v"] * winning)
-    return ranked.select("host", F.transform(F.slice(best, 1, paths), lambda x: x["path"]).alias("winners"))
+    sums = [F.round(F.sum("votes"), 3).alias("votes"), F.sum("wins").alias("wins"), F.sum("n").alias("n")]
+    total, _ = store(counted.groupBy("host", "path").agg(*sums).where("wins > 0"), "path-votes")
+    tops = total.groupBy("host").agg(F.max("votes").alias("top")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = total.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int")).join(tops, ["host", "salt"])
+    return salted.where((F.col("wins") >= SUPPORT) | (F.col("votes") >= F.col("top") * winning)).select("host", "path", _order().alias("order"))
+
+
+def host_paths(pages: DataFrame, voting: float = VOTING, winning: float = WINNING) -> DataFrame:
+    """(host, winners): the winning paths of each host in their order, in one row; for few paths."""
+    listed = path_votes(pages, voting, winning).groupBy("host").agg(F.sort_array(F.collect_list("order")).alias("all"))
+    return listed.select("host", F.transform("all", lambda x: x["path"]).alias("winners"))
+
+
+def _chosen(rows: DataFrame, winners: DataFrame, trusted: float = TRUSTED) -> DataFrame:
+    """``rows`` with the first winning path that each page has, by joins per host and path."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "html"):
+                out: list[tuple] = []
+                columns = [part.column(c).to_pylist() for c in ("host", "key", "check", "html")]
+                for name, key, check, html in zip(*columns, strict=True):
+                    page = parse(html or "")
+                    out += [(name, key, check, path) for path in trusted_paths(page, trusted)]
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["host", "key", "check", "path"])
+
+    keyed = rows.withColumns({"key": F.xxhash64("html"), "check": F.xxhash64(F.lit(1), "html")})
+    has = keyed.where("host <> ''").select("host", "key", "check", "html").mapInArrow(run, "host string, key long, check long, path string")
+    salted = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = has.withColumn("salt", F.pmod("key", F.lit(SALTS)).cast("int")).join(salted, ["host", "path", "salt"])
+    first = met.groupBy("host", "key", "check").agg(F.min("order")["path"].alias("winner"))
+    return keyed.join(first, ["host", "key", "check"], "left")
 
 
 def extract_pages(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -301,19 +347,31 @@ def extract_pages(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> D
     columns are ignored; no rows in, no rows out.
     """
     rows = pages.select("page_id", "url", pages["html"].cast("string"), host().alias("host"))
-    winners, _ = store(host_paths(rows), "host-paths")
-    size = winners.agg(F.sum(F.octet_length("host") + F.aggregate("winners", F.lit(64), lambda s, p: s + F.octet_length(p)))).first()[0] or 0
+    winners, _ = store(path_votes(rows), "host-paths")
+    size = winners.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 64)).first()[0] or 0
+    known = None
     if size <= broadcast_bytes:
-        joined = rows.join(F.broadcast(winners), "host", "left")
+        ranks: defaultdict[str, dict[str, tuple]] = defaultdict(dict)
+        for name, path, order in winners.select("host", "path", "order").collect():
+            ranks[name][path] = tuple(order)
+        known = pages.sparkSession.sparkContext.broadcast(dict(ranks))
+        joined = rows.withColumn("winner", F.lit(None).cast("string"))
     else:
-        salted = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = rows.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
-    cut = joined.select("page_id", "url", "html", "winners")
+        joined = _chosen(rows, winners)
+    cut = joined.select("page_id", "url", "html", "host", "winner")
+
+    def text(html: str | None, name: str, winner: str | None) -> str:
+        page = parse(html or "")
+        if known is None:
+            return extract(page, [winner] if winner is not None else None)
+        own = known.value.get(name, {})
+        orders = [own[p] for p in trusted_paths(page) if p in own]
+        return extract(page, [min(orders)[-1]] if orders else None)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                texts = [extract(parse(h or ""), w) for h, w in zip(part.column("html").to_pylist(), part.column("winners").to_pylist(), strict=True)]
+                texts = [text(*x) for x in zip(*(part.column(c).to_pylist() for c in ("html", "host", "winner")), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     names=["page_id", "url", "text", "n_chars"],

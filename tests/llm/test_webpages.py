@@ -67,6 +67,23 @@ def test_a_host_decides_where_one_page_would_err(spark):
     assert [(r.host, r.winners[0]) for r in paths] == [("a.example", "body>div.story")]
 
 
+def test_every_layout_of_a_host_counts(spark):
+    """Twelve layouts and a small one on one host: short articles follow their own layout's path, none that of another."""
+    teasers = "<div class='more'>" + "<p>another story you may read on this site </p>" * 6 + "</div>"
+    name = "abcdefghijkl"
+    story = lambda k, n: f"<div class='story {k}'><p>{'the story goes on ' * n}</p></div>"
+    few = "<div class='more'><p>one</p></div>"
+    rows = [(100 * k + i, page(story(c, 40) + few)) for k, c in enumerate(name) for i in range(60 if k == 0 else 5)]
+    rows += [(5000 + k, page(story(c, 8) + teasers)) for k, c in enumerate(name)]
+    # the minority has a short box on the path of the largest layout
+    rows += [(9000 + i, page(f"<div class='note'><p>{'a minority text ' * 40}</p></div>" + story("a", 12) + f"<nav>{'menu ' * 200}</nav>")) for i in range(8)]
+    df = spark.createDataFrame([(i, "http://a.example/", h) for i, h in rows], "page_id long, url string, html string")
+    for limit in (1 << 20, 0):
+        got = {r.page_id: r.text for r in w.extract_pages(df, limit).collect()}
+        assert {got[5000 + k] for k in range(12)} == {("the story goes on " * 8).strip()}
+        assert {got[9000 + i] for i in range(8)} == {("a minority text " * 40).strip()}
+
+
 def test_hosts(spark):
     urls = ["http://A.b.c/x", "https://u:p@a.b:80?q", "ftp://h#x", "no url", None, "http:///x", "//x/y"]
     got = [r.h for r in spark.createDataFrame([(u,) for u in urls], "url string").select(w.host().alias("h")).collect()]
