@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import near, packing, quality, repetition
+from kindred.llm import packing, quality, repetition, simhash
 from kindred.llm.common import crc_fold, store, table
 
 
@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: texts that share 0.8 or more of their five-word shingles."""
-    return near.keep_one(docs)
+    """One document of each group whose fingerprints of three-word shingles link at two or fewer differing bits."""
+    return simhash.keep_one(docs, distance=2, words=3)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
