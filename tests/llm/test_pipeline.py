@@ -1,9 +1,11 @@
 """The pipeline against plain versions of its stages, and what must stay or go."""
 
+import random
+
 import public_tokenizers
 
 import corpus_pipeline as pipeline
-from kindred.llm import packing, quality, repetition, simhash
+from kindred.llm import packing, quality, repetition
 from kindred.llm.common import crc_fold
 from tests.llm.test_repetition import brute_row
 from tests.llm.test_simhash import brute_fingerprint, roots
@@ -45,14 +47,34 @@ def test_run_against_plain_stages(spark):
 
 
 def test_planted_documents(spark):
+    """Copies, repeated passages and short texts go through the pipeline's own stages; clean documents stay."""
     clean = {i: " ".join(f"{w}{i}{j}" for j, w in enumerate(["lorem", "ipsum", "dolor", "sit", "amet"] * 30)) for i in range(20)}
     rows = list(clean.items())
     rows += [(100, clean[3]), (101, clean[4].upper()), (102, " ".join(["same words again"] * 80)), (103, "too short")]
     passage = " ".join(f"part{i}" for i in range(120))
     rows += [(104, f"{passage} {' '.join(f'more{i}' for i in range(300))} {passage}")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = simhash.keep_one(repetition.keep_unrepetitive(docs))
+    stages = dict(pipeline.STAGES)
+    ruled = stages["quality_rules"](spark, docs, SMALL)
+    assert {r.doc_id for r in ruled.collect()} == {*clean, 100, 101}
+    kept = stages["near_dedup"](spark, ruled, SMALL)
     assert {r.doc_id for r in kept.collect()} == set(clean)
+    pieces = stages["packing"](spark, kept, SMALL).collect()
+    assert {r.doc_id for r in pieces} == set(clean)
+
+
+def test_one_of_each_group_stays(spark):
+    """Of texts whose fingerprints are linked in a chain one stays, the one with the smallest id."""
+    rng = random.Random(4)
+    base = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(400)) for _ in range(12)]
+    texts = [b if not n else " ".join([*b.split()[:-n], *(f"end{k}" for k in range(n))]) for b in base for n in range(6)]
+    fps = {i: brute_fingerprint(t) for i, t in enumerate(texts)}
+    links = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 2]
+    first = roots(links, fps)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = pipeline.near_dedup(spark, docs, SMALL)
+    assert {r.doc_id for r in kept.collect()} == {i for i in fps if first[i] == i}
+    assert 0 < sum(first[i] == i for i in fps) < len(texts)
 
 
 def test_no_documents(spark, no_docs):
