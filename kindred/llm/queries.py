@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kindred.llm import bpe, hmm, language, neighbours, packing, quality, repetition, sharding, simhash, webpages
-from kindred.llm.common import crc_fold, table
+from kindred.llm import bpe, chat, fim, hmm, language, neighbours, packing, quality, repair, repetition, sharding, simhash, webpages
+from kindred.llm.common import crc_fold, store, table
+from kindred.llm.oracle import ORACLE_SQL
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,12 +72,34 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    turns = repair.damage(conversations)
+    found, _ = store(repair.audits(turns), "audits")
+    hashed = repair.digests(repair.repair(turns, found))
+    every = conversations.select(F.col("conv_id").cast("long")).distinct()
+    of_one, of_other = found.withColumnRenamed("conv_id", "of"), hashed.withColumnRenamed("conv_id", "of")
+    rows = every.join(of_one, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
+    rows = rows.join(of_other, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
+    counts = (F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return rows.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.restore(fim.fill_in_middle(table(spark, sf_dir, "documents")), keep_text=False)
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    conflict = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_chats(conversations.unionByName(conflict)))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pack, op2_html, op3_repetition, op4_simhash, op5_neighbours, op6_shards, op7_bpe, op8_quality, op9_hmm, op10_language,
+        op11_repair, op12_fim, op13_chat,
     )
-
 }
-
-# DuckDB has neither XXH64 with a seed nor the tokenizers, and what follows from them or from models is tested by brute force
-ORACLE_SQL: dict[str, str] = {}
