@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kindred.llm.common import slices, store
@@ -26,14 +27,15 @@ SUPPORT = 3
 WINNING = 0.1
 # a page uses a winning path if the container's own score reaches this share of the page's best
 TRUSTED = 0.05
-# levels that a path tells apart
+# levels and classes of a level that a path spells out; further ones are in it as a hash
 DEEPEST = 30
+CLASSES = 4
 # winners are broadcast up to so many bytes, and joined by salted hosts beyond
 BROADCAST_BYTES = 16 << 20
 SALTS = 16
 
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/><]*+)((?:[^>"'<]++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""", re.DOTALL
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/><]*+)((?:[^>"'<]++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""", re.DOTALL
 )
 ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 RAW = frozenset("script style title textarea noscript iframe noembed noframes template xmp".split())
@@ -82,6 +84,19 @@ def _name_parts(value: str) -> list[str]:
     return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
 
 
+def _hashed(text: str) -> str:
+    return "~" + xxhash.xxh64_hexdigest(text.encode())
+
+
+def _below(above: Node, name: str) -> str:
+    """The path of a container inside another; the levels below the deepest that is spelled out are one hash."""
+    path = f"{above.path}>{name}"
+    if above.depth < DEEPEST:
+        return path
+    stem = above.path if above.depth == DEEPEST else above.path.rpartition(">")[0]
+    return f"{stem}>{_hashed(path)}"
+
+
 def _describe(tag: str, attributes: str) -> tuple[str, int]:
     """The tag with its generalised classes, and whether it can be part of an article."""
     flag = 2 if tag in OUTSIDE else 1 if tag in WRAPPERS else 0
@@ -90,7 +105,9 @@ def _describe(tag: str, attributes: str) -> tuple[str, int]:
         for found in ATTRIBUTE.finditer(attributes):
             name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
             if name == "class":
-                classes = sorted(set(re.sub(r"\d+", "#", c.lower()) for c in value.split()))[:4]
+                classes = sorted(set(re.sub(r"\d+", "#", c.lower()) for c in value.split()))
+                if len(classes) > CLASSES:
+                    classes[CLASSES:] = [_hashed(" ".join(classes[CLASSES:]))]
             if name in ("class", "id"):
                 for word in value.split():
                     parts = _name_parts(word)
@@ -110,12 +127,22 @@ def _describe(tag: str, attributes: str) -> tuple[str, int]:
 def parse(html: str) -> Page:
     """Blocks of text in page order, and the containers around them.
 
-    Inline tags only mark text; tags that are never closed, or closed twice, end with what is around them.
+    Inline tags only mark text; tags that are never closed, or closed twice, end with what is around them.  Takes time
+    in proportion to the page, however its tags are nested or broken: where each tag is open is known without a search.
     """
     page = Page()
     nodes, blocks = page.nodes, page.blocks
     nodes.append(Node("html", "", -1, 0, 0))
     stack = [0]
+    # places in the stack of each open tag
+    opened: defaultdict[str, list[int]] = defaultdict(list)
+
+    def close(tag: str) -> None:
+        """Close the innermost open ``tag``, and with it what is open inside."""
+        first = opened[tag][-1]
+        while len(stack) > first:
+            opened[nodes[stack.pop()].tag].pop()
+
     text: list[str] = []
     links = linked = 0
 
@@ -167,30 +194,22 @@ def parse(html: str) -> Page:
         links = 0
         if closing:
             known = SAME.get(tag, tag)
-            for i in range(len(stack) - 1, 0, -1):
-                if nodes[stack[i]].tag == known:
-                    del stack[i:]
-                    break
+            if opened[known]:
+                close(known)
             continue
         if nodes[stack[-1]].tag == "p":
-            stack.pop()
+            close("p")
         if tag in CLOSES:
             same, fence = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                open_tag = nodes[stack[i]].tag
-                if open_tag in fence:
-                    break
-                if open_tag == same:
-                    del stack[i:]
-                    break
+            if opened[same] and opened[same][-1] > max((opened[f][-1] for f in fence if opened[f]), default=0):
+                close(same)
         if found[3].endswith("/") and tag not in CANDIDATES:
             continue
         above = stack[-1]
         name, flag = _describe(tag, found[3])
-        path = name if tag == "body" or not nodes[above].path else f"{nodes[above].path}>{name}"
-        if nodes[above].depth >= DEEPEST:
-            path = nodes[above].path
+        path = name if tag == "body" or not nodes[above].path else _below(nodes[above], name)
         nodes.append(Node(SAME.get(tag, tag), path, above, nodes[above].depth + 1, flag))
+        opened[nodes[-1].tag].append(len(stack))
         stack.append(len(nodes) - 1)
     flush()
     _score(page)
@@ -311,12 +330,6 @@ def path_votes(pages: DataFrame, voting: float = VOTING, winning: float = WINNIN
     return salted.where((F.col("wins") >= SUPPORT) | (F.col("votes") >= F.col("top") * winning)).select("host", "path", _order().alias("order"))
 
 
-def host_paths(pages: DataFrame, voting: float = VOTING, winning: float = WINNING) -> DataFrame:
-    """(host, winners): the winning paths of each host in their order, in one row; for few paths."""
-    listed = path_votes(pages, voting, winning).groupBy("host").agg(F.sort_array(F.collect_list("order")).alias("all"))
-    return listed.select("host", F.transform("all", lambda x: x["path"]).alias("winners"))
-
-
 def _chosen(rows: DataFrame, winners: DataFrame, trusted: float = TRUSTED) -> DataFrame:
     """``rows`` with the first winning path that each page has, by joins per host and path."""
 
@@ -344,7 +357,7 @@ def extract_pages(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> D
 
     ``text`` is the main text: blocks joined by an empty line, empty if there is none (also for a null or empty page).
     Pages without a host (null or malformed url) use their own best container.  Equal rows give equal rows; other
-    columns are ignored; no rows in, no rows out.
+    columns are ignored; no rows in, no rows out.  Pages of any length are read whole, in time in proportion to it.
     """
     rows = pages.select("page_id", "url", pages["html"].cast("string"), host().alias("host"))
     winners, _ = store(path_votes(rows), "host-paths")

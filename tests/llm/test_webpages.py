@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 import pytest
@@ -37,9 +38,28 @@ def test_odd_markup(page, text):
     assert "\n\n".join(t for n, t in parsed.blocks if not parsed.dropped[n]) == text
 
 
-def test_time_stays_linear():
-    for page in ("<a" * 300_000, '"<div class="' * 50_000, "<div>" * 20_000 + "x", "<p 'x" * 50_000):
-        w.parse(page)
+MALFORMED = {
+    "tags never closed": lambda n: "<a" * n, "quotes never closed": lambda n: '"<div class="' * n, "deep": lambda n: "<div>" * n + "x",
+    "odd quotes": lambda n: "<p 'x" * n, "unmatched ends": lambda n: "<div>" * n + "</p>" * n, "declarations": lambda n: "<!x " * n,
+    "instructions": lambda n: "<?x " * n, "items behind a fence": lambda n: "<li><ul>" + "<div>" * n + "<li></li>" * n,
+    "cells in depth": lambda n: "<div>" * n + "<td>x" * n, "paragraphs": lambda n: "<p>x" * n, "comments": lambda n: "<!-- " * n, "scripts": lambda n: "<script>" * n,
+}
+
+
+@pytest.mark.parametrize("kind", MALFORMED)
+def test_time_stays_linear(kind):
+    """300,000 repeats take seconds; quadratic time would take hours."""
+    start = time.monotonic()
+    w.parse(MALFORMED[kind](300_000))
+    assert time.monotonic() - start < 60
+
+
+def test_deep_levels_and_many_classes_have_paths_of_their_own():
+    page = w.parse("<body>" + "<div>" * 40 + "<section>a</section><article>b</article>" + "</div>" * 40)
+    paths = [n.path for n in page.nodes[1:]]
+    assert len(set(paths)) == len(paths) and max(map(len, paths)) < 300
+    names = {w._describe("div", f' class="a b c d {last}"')[0] for last in ("e", "f", "e f", "")}
+    assert len(names) == 4 and w._describe("div", ' class="d c b a e9"')[0] == w._describe("div", ' class="e10 a b c d"')[0]
 
 
 def test_paths_are_general():
@@ -63,8 +83,9 @@ def test_a_host_decides_where_one_page_would_err(spark):
         got = {r.page_id: r.text for r in w.extract_pages(df, limit).collect()}
         assert got[9] == ("the story goes on " * 8).strip() and got[0] == ("the story goes on " * 40).strip()
         assert "another story" in got[10]
-    paths = w.host_paths(df.withColumn("host", w.host())).collect()
-    assert [(r.host, r.winners[0]) for r in paths] == [("a.example", "body>div.story")]
+    paths = w.path_votes(df.withColumn("host", w.host())).collect()
+    best = min(paths, key=lambda r: tuple(r.order))
+    assert (best.host, best.path) == ("a.example", "body>div.story")
 
 
 def test_every_layout_of_a_host_counts(spark):
