@@ -110,3 +110,23 @@ def test_odd_rows(spark, odd_docs, no_docs):
 def test_tiers_must_be_powers_of_two(no_docs):
     with pytest.raises(ValueError):
         packing.pack(no_docs, PATH, tiers=(100,))
+
+
+LONG = {
+    "spaces": " " * 2_000_000, "newlines": "\n" * 2_000_000, "mixed blanks": " \n\t " * 500_000, "blanks between words": "word" + " " * 1_500_000 + "end",
+    "letters": "a" * 2_000_000, "other letters": "é" * 1_000_000, "digits": "7" * 2_000_000, "marks": "!" * 2_000_000, "words": "some words " * 180_000,
+    "blank runs": ("x" + " " * 90_000) * 20,
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_very_long_texts_equal_the_library(kind):
+    ids = Tokenizer.from_file(PATH).encode(LONG[kind], add_special_tokens=False).ids
+    assert packing.token_ids([LONG[kind]], PATH)[0].tolist() == [*ids, packing.SEPARATOR]
+
+
+def test_files_of_another_kind_are_left_to_the_library():
+    other = public_tokenizers.path("word_bpe_49k.json")
+    text = "Some WORDS, and numbers 123"
+    assert packing.encoder(other) is None
+    assert packing.text_ids(text, other) == Tokenizer.from_file(other).encode(text, add_special_tokens=False).ids
