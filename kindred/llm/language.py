@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from kindred.llm.common import map_slices, store
 
 ORDER = 3
-# labelled documents and bytes of text a language learns from, and most languages: they bound the model
-MAX_DOCS = 1000
+# characters of a piece; pieces and bytes of labelled text a language learns from, and most languages: they bound the model
+PIECE = 8192
+MAX_PIECES = 1000
 MAX_BYTES = 2 << 20
 MAX_LANGUAGES = 256
 # steps of the hash by which a language is thinned
@@ -24,12 +25,13 @@ UNDETERMINED = "und"
 WINDOW = 1 << 20
 
 
-def grams(text: str, order: int = ORDER) -> np.ndarray:
-    """Each byte of the lower-cased text behind the ``order`` bytes before it, as one number; zeros precede the text."""
-    raw = np.frombuffer(bytes(order) + text.lower().encode(), np.uint8).astype(np.uint32)
-    out = np.zeros(len(raw) - order, np.uint32)
+def grams(raw: bytes, order: int = ORDER, start: int = 0, stop: int | None = None) -> np.ndarray:
+    """Each byte of a stretch behind the ``order`` bytes before it, as one number; zeros precede the text."""
+    stop = len(raw) if stop is None else min(stop, len(raw))
+    known = np.frombuffer(bytes(max(0, order - start)) + raw[max(0, start - order) : stop], np.uint8).astype(np.uint32)
+    out = np.zeros(len(known) - order, np.uint32)
     for i in range(order + 1):
-        out = out << np.uint32(8) | raw[i : len(raw) - order + i]
+        out = out << np.uint32(8) | known[i : len(known) - order + i]
     return out
 
 
@@ -104,41 +106,50 @@ def build(languages: list[str], language: np.ndarray, gram: np.ndarray, count: n
     return Model(languages, levels[::-1])
 
 
-def fit(docs: DataFrame, order: int = ORDER, max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> Model | None:
+def fit(docs: DataFrame, order: int = ORDER, max_pieces: int = MAX_PIECES, max_bytes: int = MAX_BYTES) -> Model | None:
     """A model of the labelled rows of (doc_id, text, lang); None if there are none.
 
-    Each language learns from its first ``max_docs`` different rows in order of a hash, as far as they stay within
-    ``max_bytes`` of text together, so the model has at most that many contexts a language.  Only counts leave the tasks.
+    Documents are cut in pieces of ``PIECE`` characters, each learned like a text of its own.  A language learns from its
+    first ``max_pieces`` different pieces in order of a hash, until they reach ``max_bytes`` of text together, so it
+    learns from many documents however long they are, from one piece at least, and the model stays bounded.  Only counts
+    leave the tasks.  More than ``MAX_LANGUAGES`` labels are an error.
     """
     if not 1 <= order <= 3:
         raise ValueError("a context and its symbol fill 4 bytes at most")
     spark = docs.sparkSession
-    rows = docs.where("lang is not null and text is not null").select(
+    texts = docs.where("lang is not null and text is not null").select(
         F.col("lang").cast("string"), F.col("text").cast("string"), F.xxhash64("doc_id", "text").alias("h")
     )
-    keys = rows.select("lang", "h", F.octet_length("text").cast("long").alias("size")).where(F.col("size") <= max_bytes).distinct()
-    keys, _ = store(keys, "labelled")
+
+    def pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        out = [(lang, text[at : at + PIECE], h, at) for lang, text, h in rows for at in range(0, max(len(text), 1), PIECE)]
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["lang", "text", "h", "at"])
+
+    cut = map_slices(texts, "text", "lang string, text string, h long, at long", pieces).select("lang", "text", F.xxhash64("h", "at").alias("h"))
+    keys, _ = store(cut.select("lang", "h", F.octet_length("text").cast("long").alias("size")).distinct(), "labelled")
     counts = {r["lang"]: r["count"] for r in keys.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"the model is bounded to {MAX_LANGUAGES} languages")
     if not counts:
         return None
     # a large language is thinned by the hash before its rows meet: some twice as many as wanted are left
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(FINE, 2 * max_docs * FINE // n + 1))))
+    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(FINE, 2 * max_pieces * FINE // n + 1))))
     first = keys.where(F.pmod("h", F.lit(FINE)) < share[F.col("lang")])
     by = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(FINE)), "h")
-    ranked = first.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= max_docs)
-    chosen = ranked.withColumn("sum", F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("sum") <= max_bytes)
-    picked = [tuple(r) for r in chosen.select("lang", "h").collect()]
+    ranked = first.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= max_pieces)
+    before = F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    picked = [tuple(r) for r in ranked.withColumn("before", before).where(F.col("before") < max_bytes).select("lang", "h").collect()]
     languages = sorted({lang for lang, _ in picked})
     if not languages:
         return None
     number = {lang: i for i, lang in enumerate(languages)}
     sample = F.broadcast(spark.createDataFrame(picked, "lang string, h long"))
-    texts = rows.join(sample, ["lang", "h"]).dropDuplicates(["lang", "h"])
+    chosen = cut.join(sample, ["lang", "h"]).dropDuplicates(["lang", "h"])
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        parts = [(number[lang], *np.unique(grams(t, order), return_counts=True)) for lang, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True)]
+        parts = [(number[lang], *np.unique(grams(t.lower().encode(), order), return_counts=True)) for lang, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True)]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([np.full(len(g), n, np.int32) for n, g, _ in parts])),
@@ -148,21 +159,33 @@ def fit(docs: DataFrame, order: int = ORDER, max_docs: int = MAX_DOCS, max_bytes
             names=["language", "gram", "n"],
         )
 
-    counted = map_slices(texts, "text", "language int, gram long, n long", count).groupBy("language", "gram").agg(F.sum("n").alias("n"))
+    counted = map_slices(chosen, "text", "language int, gram long, n long", count).groupBy("language", "gram").agg(F.sum("n").alias("n"))
     got = counted.toPandas()
     return build(languages, got["language"].to_numpy(), got["gram"].to_numpy().astype(np.uint32), got["n"].to_numpy(), order)
 
 
 def score_texts(texts: list[str | None], model: Model, order: int = ORDER) -> np.ndarray:
-    """Bits of each text under each language, for texts of any length."""
-    keys = [grams(t or "", order) for t in texts]
-    owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-    flat = np.concatenate(keys) if keys else np.zeros(0, np.uint32)
+    """Bits of each text under each language; of texts of any length, grams of a window of bytes at once."""
     total = np.zeros((len(texts), len(model.languages)))
-    for at in range(0, len(flat), WINDOW):
-        own = owner[at : at + WINDOW]
-        first = np.flatnonzero(np.diff(own, prepend=-1))
-        total[own[first]] += np.add.reduceat(model.code_lengths(flat[at : at + WINDOW]), first, axis=0, dtype=np.float64)
+    held: list[tuple[int, np.ndarray]] = []
+
+    def add() -> None:
+        if held:
+            first = np.cumsum([0, *(len(keys) for _, keys in held[:-1])])
+            sums = np.add.reduceat(model.code_lengths(np.concatenate([keys for _, keys in held])), first, axis=0, dtype=np.float64)
+            np.add.at(total, [i for i, _ in held], sums)
+            held.clear()
+
+    size = 0
+    for i, text in enumerate(texts):
+        raw = (text or "").lower().encode()
+        for start in range(0, len(raw), WINDOW):
+            held.append((i, grams(raw, order, start, start + WINDOW)))
+            size += len(held[-1][1])
+            if size >= WINDOW:
+                add()
+                size = 0
+    add()
     return total
 
 
@@ -172,7 +195,7 @@ def identify(docs: DataFrame, model: Model | None, order: int = ORDER) -> DataFr
     The language with the shortest code for the whole text wins, of equal ones the first by name; ``score`` is its
     share if every language is as likely beforehand, ``bits`` its code length.  Null texts, texts without a letter, and
     all texts if nothing was learned, give ``und`` and score 0.  Equal texts give equal results; other columns are
-    ignored; no rows in, no rows out.
+    ignored; no rows in, no rows out.  Texts of any length are scored whole, a window of their bytes at a time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
