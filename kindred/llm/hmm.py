@@ -1,36 +1,40 @@
 """A hidden Markov language model over word classes, trained by Baum-Welch over all partitions.
 
 A token's probability is that of its class in the hidden state, times that of the word in its class.  The most
-frequent words are classes of their own; other words share a class with those that end alike.  Word counts grow with
-the corpus and stay tables; the hidden states see only classes, whose number is fixed.
+frequent words are classes of their own, as many as the corpus has; other words share a class with those that end
+alike.  Word counts grow with the corpus and stay tables; the hidden states see classes.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kindred.llm.common import map_slices, slices, store
 
 STATES = 8
-# words that are classes of their own, and classes of other words
-OWN_CLASSES = 2000
+# words seen so often are classes of their own, the most frequent ones up to a number that bounds the sums; others share classes
+OWN_COUNT = 30
+OWN_CLASSES = 16_000
 ENDING_CLASSES = 512
 # frequent words known in every task, at most; counts of all others are joined
 HEAD = 200_000
 ITERATIONS = 5
 # tokens of a stretch in training: long texts are cut there, each stretch starts anew
 STRETCH = 256
-# texts on whose beginnings the first states are found
-SEEDS = 2000
+# different stretches, drawn by a hash of their content from all stretches of all texts, among which the first centres are
+# chosen; rounds in which the centres are then fitted to all stretches
+SEEDS = 256
+MIXTURE_ROUNDS = 2
 # distinct words a task counts before it sends them on
 FLUSH = 500_000
 END = b""
@@ -96,7 +100,7 @@ class Lexicon:
         return np.where(shared, np.log10(np.where(c > 0, c, self.class_rest[ending]) / all_tokens), 0.0)
 
 
-def lexicon(counts: DataFrame, head: int = HEAD, own: int = OWN_CLASSES) -> Lexicon:
+def lexicon(counts: DataFrame, head: int = HEAD, own_count: int = OWN_COUNT, own: int = OWN_CLASSES) -> Lexicon:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     words = counts.where(F.octet_length("token") > 0)
     # levels of frequency, some twenty to a doubling, of which as many of the highest as fit are taken whole
@@ -111,7 +115,7 @@ def lexicon(counts: DataFrame, head: int = HEAD, own: int = OWN_CLASSES) -> Lexi
     top = words.where(level >= least).collect() if least is not None else []
     top.sort(key=lambda r: (-r.c, bytes(r.token)))
     names, c = [bytes(r.token) for r in top], np.array([r.c for r in top], np.int64)
-    own = min(own, len(names))
+    own = min(own, int(np.count_nonzero(c >= own_count)))
     ending = F.pmod(F.crc32(F.expr("substring(token, -3, 3)")), F.lit(ENDING_CLASSES)).cast("int").alias("e")
     sums = words.groupBy(ending).agg(F.sum("c").alias("n"), F.sum((F.col("c") == 1).cast("long")).alias("once")).collect()
     class_tokens, rest = np.zeros(ENDING_CLASSES), np.ones(ENDING_CLASSES)
@@ -260,8 +264,30 @@ def _sequences(batch: pa.RecordBatch, stretch: int | None = None) -> list[np.nda
     return whole if stretch is None else [s[i : i + stretch] for s in whole for i in range(0, len(s), stretch)]
 
 
-def first_chain(sample: list[np.ndarray], n_classes: int, states: int, seed: int) -> Chain:
-    """States from a mixture of class frequencies, fitted to sampled stretches; states tend to stay."""
+def first_stretches(data: DataFrame, n: int = SEEDS) -> list[np.ndarray]:
+    """``n`` different stretches of all sequences, those with the smallest hashes of their content, in that order.
+
+    They do not depend on how rows are dealt to partitions or ordered, and may stand anywhere in a text.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[int, bytes] = {}
+        for batch in batches:
+            for part in slices(batch, "classes", 2 << 20, 1 << 30):
+                for stretch in _sequences(part, STRETCH):
+                    raw = stretch.tobytes()
+                    least[xxhash.xxh64_intdigest(raw) >> 1] = raw
+                if len(least) > 4 * n:
+                    least = dict(sorted(least.items())[:n])
+        least = dict(sorted(least.items())[:n])
+        yield pa.RecordBatch.from_arrays([pa.array(least.keys(), pa.int64()), pa.array(least.values(), pa.binary())], names=["h", "part"])
+
+    drawn = data.mapInArrow(run, "h long, part binary").groupBy("h").agg(F.min("part").alias("part"))
+    return [np.frombuffer(r.part, "<u2") for r in drawn.orderBy("h").limit(n).collect()]
+
+
+def first_centres(sample: list[np.ndarray], n_classes: int, states: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prior and class frequencies (class, state) of a mixture fitted to a few stretches."""
     rng = np.random.default_rng(seed)
     counts = np.stack([np.bincount(s, minlength=n_classes) for s in sample]) if sample else np.ones((1, n_classes))
     overall = counts.sum(axis=0) + 0.1
@@ -274,45 +300,79 @@ def first_chain(sample: list[np.ndarray], n_classes: int, states: int, seed: int
         centres.append(int(rng.choice(len(far), p=far / far.sum())) if far.sum() > 0 else int(rng.integers(len(far))))
     share = direction @ direction[centres].T
     weight = (share == share.max(axis=1, keepdims=True)).astype(float)
-    for _ in range(30):
+    for _ in range(10):
         weight = (weight + 1e-3) / (weight + 1e-3).sum(axis=1, keepdims=True)
         emit = weight.T @ counts + 20 * overall
         emit /= emit.sum(axis=1, keepdims=True)
         prior = weight.mean(axis=0)
         log = counts @ np.log(emit.T) + np.log(prior)
         weight = np.exp(log - log.max(axis=1, keepdims=True))
+    return prior, emit.T.copy()
+
+
+def mixture_counts(sequences: list[np.ndarray], prior: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Expected stretches of each state, and expected classes (class, state), if a stretch has one state."""
+    lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
+    flat = np.concatenate(sequences)
+    first = np.cumsum(lengths) - lengths
+    weight = np.stack([np.add.reduceat(column[flat], first) for column in np.log(emit).T.copy()], axis=1) + np.log(prior)
+    weight = np.exp(weight - weight.max(axis=1, keepdims=True))
+    weight /= weight.sum(axis=1, keepdims=True)
+    emits = np.stack([np.bincount(flat, weights=np.repeat(w, lengths), minlength=len(emit)) for w in weight.T], axis=1)
+    return weight.sum(axis=0), emits
+
+
+def _added(data: DataFrame, size: int, count: Callable[[list[np.ndarray]], np.ndarray]) -> np.ndarray:
+    """The sum of ``count`` over the stretches of all rows: added up in tasks, then by Spark; only sums return."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for part in slices(batch, "classes", 2 << 20, 1 << 30):
+                total += count(_sequences(part, STRETCH))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["i", "v"])
+
+    got = data.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
+    total = np.zeros(size)
+    total[got["i"].to_numpy(np.int64)] = got["v"].to_numpy()
+    return total
+
+
+def first_chain(data: DataFrame, n_classes: int, states: int, seed: int) -> Chain:
+    """States from a mixture of class frequencies, fitted to all stretches of all texts; states tend to stay."""
+    spark = data.sparkSession
+    prior, emit = first_centres(first_stretches(data), n_classes, states, seed)
+    for _ in range(MIXTURE_ROUNDS):
+        shared = spark.sparkContext.broadcast((prior, emit))
+
+        def count(sequences: list[np.ndarray], shared=shared) -> np.ndarray:
+            return np.concatenate([x.ravel() for x in mixture_counts(sequences, *shared.value)])
+
+        total = _added(data, states + n_classes * states, count)
+        shared.unpersist()
+        weight, emits = total[:states] + 0.1, total[states:].reshape(n_classes, states)
+        overall = emits.sum(axis=1, keepdims=True) + 0.1
+        emits = emits + 20 * overall / overall.sum()
+        prior, emit = weight / weight.sum(), emits / emits.sum(axis=0)
     stay = 0.9
-    return Chain(prior, stay * np.eye(states) + (1 - stay) * prior, emit.T.copy())
+    return Chain(prior, stay * np.eye(states) + (1 - stay) * prior, emit)
 
 
 def train(encoded: DataFrame, n_classes: int, states: int = STATES, iterations: int = ITERATIONS, seed: int = 11) -> Chain:
-    """Baum-Welch over all rows of ``encoded``; expected counts are added up in tasks, then by Spark, and only sums return.
-
-    The starting point comes from the beginnings of some SEEDS texts (less than twice as many), chosen by a hash.
-    """
+    """Baum-Welch over all rows of ``encoded``, whose result does not depend on their layout but for the rounding of sums."""
     spark = encoded.sparkSession
     data = encoded.select("classes")
-    every = max(1, data.count() // SEEDS)
-    part = F.expr(f"substring(classes, 1, {2 * STRETCH})").alias("part")
-    picked = encoded.where(F.pmod(F.xxhash64("uid"), F.lit(every)) == 0).select("uid", part).collect()
-    sample = [np.frombuffer(r.part, "<u2") for r in sorted(picked, key=lambda r: r.uid)]
-    chain = first_chain(sample, n_classes, states, seed)
+    chain = first_chain(data, n_classes, states, seed)
     k = states
     for _ in range(iterations):
         shared = spark.sparkContext.broadcast(chain)
 
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(k + k * k + n_classes * k)
-            for batch in batches:
-                for part in slices(batch, "classes", 2 << 20, 1 << 30):
-                    starts, moves, emits, _ = shared.value.expected(_sequences(part, STRETCH))
-                    total += np.concatenate([starts, moves.ravel(), emits.ravel()])
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["i", "v"])
-
-        got = data.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
-        total = np.zeros(k + k * k + n_classes * k)
-        total[got["i"].to_numpy(np.int64)] = got["v"].to_numpy()
+        def count(sequences: list[np.ndarray], shared=shared) -> np.ndarray:
+            starts, moves, emits, _ = shared.value.expected(sequences)
+            return np.concatenate([starts, moves.ravel(), emits.ravel()])
+
+        total = _added(data, k + k * k + n_classes * k, count)
         shared.unpersist()
         starts, moves, emits = total[:k] + 0.1, total[k : k + k * k].reshape(k, k) + 0.1, total[k + k * k :].reshape(n_classes, k)
         overall = emits.sum(axis=1, keepdims=True) + 0.1
@@ -321,7 +381,7 @@ def train(encoded: DataFrame, n_classes: int, states: int = STATES, iterations:
     return chain
 
 
-def score_texts(docs: DataFrame, learn: Column, states: int = STATES, iterations: int = ITERATIONS, head: int = HEAD, own: int = OWN_CLASSES) -> DataFrame:
+def score_texts(docs: DataFrame, learn: Column, states: int = STATES, iterations: int = ITERATIONS, head: int = HEAD, own_count: int = OWN_COUNT) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for every row of (doc_id, text).
 
     The model learns from the rows where ``learn`` holds (null: not).  ``base_score`` is the log10 probability of the
@@ -332,7 +392,7 @@ def score_texts(docs: DataFrame, learn: Column, states: int = STATES, iterations
     """
     marked = docs.select("doc_id", "text", F.coalesce(learn, F.lit(False)).alias("learn"))
     counts, _ = store(word_counts(marked.where("learn")), "word-counts")
-    lex = lexicon(counts, head, own)
+    lex = lexicon(counts, head, own_count)
     encoded, _ = store(encode(marked, lex), "classes")
     chain = train(encoded.where("learn"), lex.n_classes, states, iterations)
     shared = docs.sparkSession.sparkContext.broadcast(chain)

@@ -158,8 +158,30 @@ def test_language_odd_rows(odd_docs, no_docs):
 
 def test_model_stays_within_its_bounds(spark):
     docs = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("text number "), "id").alias("text"), F.lit("en").alias("lang"))
-    model = language.fit(docs, max_docs=50, max_bytes=100)
-    assert len(model.levels[0].known) <= 100
+    model = language.fit(docs, max_pieces=50, max_bytes=100)
+    assert len(model.levels[0].known) <= 120
+
+
+def test_languages_learn_from_long_documents(spark):
+    """A language with nothing but one document beyond the bounds is learned, and a long one does not end another's learning."""
+    rng = np.random.default_rng(6)
+    word = lambda letters: "".join(rng.choice(list(letters), 5))
+    rows = [(1, " ".join(word("abcde") for _ in range(600_000)), "long"), (2, " ".join(word("vwxyz") for _ in range(400_000)), "mixed")]
+    rows += [(10 + i, " ".join(word("pqrst") for _ in range(50)), "mixed") for i in range(500)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["long", "mixed"]
+    texts = ["abcde edcba", "zyxwv vvwwx", "pqrst tsrqp"]
+    assert language.score_texts(texts, model).argmin(axis=1).tolist() == [0, 1, 1]
+
+
+def test_very_long_texts_are_scored_whole(spark):
+    docs = spark.createDataFrame([(1, "banana bandana", "aa"), (2, "xylo phone", "bb")], "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    long = ["banana " * 300_000, "phone" * 400_000, " " * 2_000_000, "xylo " * 1_200_000 + "banana " * 1_000_000]
+    got = language.score_texts(long, model)
+    assert got.argmin(axis=1).tolist()[:2] == [0, 1]
+    parts = language.score_texts(["xylo " * 1_200_000, " " + "banana " * 1_000_000], model)
+    assert np.allclose(got[3], parts.sum(axis=0), rtol=1e-4)
 
 
 # --- hidden Markov model
@@ -231,7 +253,7 @@ def test_small_heads_give_the_same_base_and_a_whole_distribution(spark):
     """The next word after a context: all known words and one unknown of each class have probability 1 together."""
     docs = spark.createDataFrame([(1, "a b a c dd ee a b"), (2, "b b ff"), (3, None)], "doc_id long, text string")
     words = ["a", "b", "c", "dd", "ee", "ff"]
-    for head, own in ((3, 2), (100, 4), (100, 0)):
+    for head, own in ((3, 2), (100, 1), (100, 99)):
         probes = docs.union(spark.createDataFrame([(10 + i, w) for i, w in enumerate([*words, ""])], docs.schema))
         scored = hmm.score_texts(probes, F.col("doc_id") < 10, 2, 2, head, own)
         rows = {r.doc_id: r for r in scored.collect()}
@@ -252,6 +274,24 @@ def test_small_heads_give_the_same_base_and_a_whole_distribution(spark):
         assert known + unknown == pytest.approx(1)
 
 
+def test_scores_do_not_depend_on_the_layout(spark, sf_dir):
+    """The same rows in one partition, in five by id, and in reverse order: equal up to the rounding of sums."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    learn = crc_fold("doc_id", 7) != 2
+    layouts = [docs.repartition(1), docs.repartition(5, "doc_id"), docs.orderBy(F.desc("doc_id")).coalesce(2)]
+    found = [{r.doc_id: r.score for r in hmm.score_texts(d, learn).collect()} for d in layouts]
+    for other in found[1:]:
+        assert max(abs(other[i] / s - 1) for i, s in found[0].items()) < 1e-4
+
+
+def test_first_stretches_are_the_same_in_any_layout(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, bytearray(rng.integers(0, 50, int(rng.integers(1, 2000))).astype("<u2").tobytes())) for i in range(300)]
+    table = spark.createDataFrame([*rows, *rows[:50]], "uid long, classes binary")
+    drawn = [[s.tolist() for s in hmm.first_stretches(table.repartition(n), 20)] for n in (1, 7)]
+    assert drawn[0] == drawn[1] and len(drawn[0]) == 20 and any(len(s) < hmm.STRETCH for s in drawn[0])
+
+
 def test_language_model_odd_rows(odd_docs, no_docs):
     rows = hmm.score_texts(odd_docs, F.col("doc_id") != 7, 2, 1).collect()
     assert len(rows) == odd_docs.count()
