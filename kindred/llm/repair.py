@@ -28,32 +28,34 @@ LEGAL = ("su", "ua", "au")
 # rows that one chart covers; cells of consecutive charts are combined like those of two spans
 CHART = 16
 
-# minimum (cost, audit) by nonterminal
-Cell = dict[tuple[int, int], tuple[int, str]]
-
-
-def _least(found: Iterable[tuple[tuple[int, int], tuple[int, str]]]) -> Cell:
-    cell: Cell = {}
-    for span, made in found:
-        if span not in cell or made < cell[span]:
-            cell[span] = made
+# minimum (cost, audit) by nonterminal: first by the point it starts from, then by the one it leads to
+Cell = dict[int, dict[int, tuple[int, str]]]
+
+
+def add(cell: Cell, left: Cell, right: Cell) -> Cell:
+    """``cell`` with what two neighbouring spans derive by all rules (p, r) -> (p, q) (q, r), as far as it is less."""
+    for p, ways in left.items():
+        best = cell.setdefault(p, {})
+        for q, (c, a) in ways.items():
+            for r, (d, b) in right[q].items():
+                known = best.get(r)
+                if known is None or c + d < known[0] or c + d == known[0] and a + b < known[1]:
+                    best[r] = c + d, a + b
     return cell
 
 
 def combine(left: Cell, right: Cell) -> Cell:
-    """The cell of two neighbouring spans: all rules (p, r) -> (p, q) (q, r)."""
-    return _least(
-        ((p, r), (c + d, a + b)) for (p, q), (c, a) in left.items() for r in POINTS if (found := right.get((q, r))) for d, b in [found]
-    )
+    """The cell of two neighbouring spans."""
+    return add({}, left, right)
 
 
 def _insertions() -> Cell:
     """The closure: the cheapest inserted user and assistant rows between any two points."""
-    cell: Cell = {(p, p): (0, "") for p in POINTS}
-    step: Cell = {(p, q): (INSERT, "I") for (p, initial), q in STEPS.items() if initial in ROLES}
-    for _ in POINTS:
-        cell = _least([*cell.items(), *combine(cell, step).items()])
-    return cell
+    step: Cell = {p: {p: (0, "")} for p in POINTS}
+    for (p, initial), q in STEPS.items():
+        if initial in ROLES:
+            step[p][q] = INSERT, "I"
+    return combine(combine(step, step), step)
 
 
 INSERTIONS = _insertions()
@@ -66,12 +68,15 @@ def leaf(kind: str) -> Cell:
     ``kind`` is ``-`` for a row that must go, else the initial of its role (any other letter: no role of the pattern), as
     a capital if the row is truncated.
     """
-    rows: list[tuple[tuple[int, int], tuple[int, str]]] = [((p, p), (DELETE, "D")) for p in POINTS]
+    row: Cell = {p: {p: (DELETE, "D")} for p in POINTS}
     if kind != "-":
         extra = TRUNCATED if kind.isupper() else 0
-        rows += [((p, q), (KEEP + extra, "K")) for (p, initial), q in STEPS.items() if initial == kind.lower()]
-        rows += [((p, q), (REROLE + extra, "R")) for (p, initial), q in STEPS.items() if initial in ROLES]
-    return combine(combine(INSERTIONS, _least(rows)), INSERTIONS)
+        for (p, initial), q in STEPS.items():
+            if initial == kind.lower():
+                row[p][q] = KEEP + extra, "K"
+            elif initial in ROLES:
+                row[p][q] = REROLE + extra, "R"
+    return combine(combine(INSERTIONS, row), INSERTIONS)
 
 
 @functools.lru_cache(maxsize=20_000)
@@ -81,8 +86,10 @@ def chart(kinds: str) -> Cell:
     cells = {(i, i + 1): leaf(kind) for i, kind in enumerate(kinds)}
     for length in range(2, n + 1):
         for i in range(n - length + 1):
-            j = i + length
-            cells[i, j] = _least(rule for k in range(i + 1, j) for rule in combine(cells[i, k], cells[k, j]).items())
+            cell: Cell = {}
+            for k in range(i + 1, i + length):
+                add(cell, cells[i, k], cells[k, i + length])
+            cells[i, i + length] = cell
     return cells[0, n]
 
 
@@ -99,7 +106,7 @@ def parse(kinds: str) -> tuple[int, str]:
     cells = [chart(kinds[i : i + CHART]) for i in range(0, len(kinds), CHART)]
     while len(cells) > 1:
         cells = [combine(*cells[i : i + 2]) if i + 1 < len(cells) else cells[i] for i in range(0, len(cells), 2)]
-    return min(cells[0][0, end] for end in ENDS if (0, end) in cells[0])
+    return min(cells[0][0][end] for end in ENDS)
 
 
 def damage(conversations: DataFrame) -> DataFrame:
