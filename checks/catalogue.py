@@ -20,7 +20,7 @@ from kindred.sources.catalogue import clean
 
 TOP_N_BRANDS = 10
 TOP_N_COLORS = 5
-N_CELLS = 8
+N_CELLS = 32
 
 # Read by both engines: it makes the input, it does not check anything.
 RAW_SQL = """

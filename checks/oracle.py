@@ -335,7 +335,7 @@ def _queries() -> dict[str, str]:
     for mode in ("text_structured", "image", "combined"):
         name = {"text_structured": "text"}.get(mode, mode)
         q[f"knn_exact_{name}"] = f"select query_id, candidate_id, score, rank from near_{mode} where rank <= 10"
-    q["knn_ivf_all_cells"] = q["knn_exact_text"]
+    q["knn_ivf_all_cells"] = q["knn_ivf_widened"] = q["knn_exact_text"]
     q["knn_embeddings"] = """
       select query_id, candidate_id, score, rank from (select *, row_number() over (partition by query_id order by score desc, candidate_id) as rank
       from (select q.vec_id as query_id, i.vec_id as candidate_id,
@@ -376,7 +376,7 @@ def _queries() -> dict[str, str]:
         on a.query_id = r.product_id and a.rank <= r.num_similar where status = 200 and mode = '{m}'"""
         for m in ("text_structured", "image", "combined")
     )
-    q["request_counts"] = "select request_id, num_similar, cast(num_similar as bigint) as n_rows from checked where status = 200"
+    q["request_counts"] = q["request_counts_ivf"] = "select request_id, num_similar, cast(num_similar as bigint) as n_rows from checked where status = 200"
     q["request_details"] = " union all ".join(
         f"""select request_id, a.rank, candidate_id, {fields} from checked r join short_{m} a
         on a.query_id = r.product_id and a.rank <= r.num_similar join clean on uniq_id = candidate_id

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -13,7 +14,7 @@ from checks.catalogue import (
 from kindred.config import HYBRID_MODES, MODES, Search
 from kindred.functions import clean as c, text as t, vectors as v
 from kindred.operators import profile
-from kindred.operators.ann import CellIndex, ivf_topk, lsh_topk
+from kindred.operators.ann import CellIndex, ivf_topk, lsh_topk, widening_search
 from kindred.operators.attach import attach_text_vectors, count_present, hashed_text_vectors
 from kindred.operators.dense import exact_topk
 from kindred.operators.encode import NUMERIC, StructuredEncoder, StructuredModel
@@ -324,6 +325,13 @@ def knn_ivf_given_centers(spark, sf_dir):
     return ivf_topk(rows.withColumnRenamed("candidate_id", "query_id"), cells, 10, nprobe=4)
 
 
+@query
+def knn_ivf_widened(spark, sf_dir):
+    """Visits that start with one cell and stop only where no hit is possible: the rows of an exact search."""
+    queries, cells = _cells(spark, sf_dir, 16)
+    return widening_search(queries, cells, 10, nprobe=1, reach=None).found
+
+
 @query
 def knn_lsh_candidates(spark, sf_dir):
     items = search_index(spark, sf_dir).dense["text_structured"]
@@ -486,6 +494,22 @@ def request_counts(spark, sf_dir):
     return valid.join(rows, "request_id", "left").select("request_id", "num_similar", F.coalesce("n", F.lit(0).cast("long")).alias("n_rows"))
 
 
+@query
+def request_counts_ivf(spark, sf_dir):
+    """As ``request_counts`` by a search that starts with one of very uneven cells: around the mean, and around twelve products."""
+    asked, index = requests(spark, sf_dir), search_index(spark, sf_dir)
+    cells = {}
+    for mode, dense in index.dense.items():
+        rows = dense.select(F.col("uniq_id").alias("candidate_id"), "vector")
+        first = rows.orderBy(F.length("candidate_id"), "candidate_id").limit(12).collect()
+        single = np.array([r["vector"] for r in first], dtype=float)
+        cells[mode] = CellIndex.around(rows, scratch_path(spark, f"uneven-{mode}"), np.vstack([single.mean(axis=0), 1.5 * single]))
+    found = answer(asked, replace(index, cells=cells), search=Search("ivf", nprobe=1, reach=1.0))
+    valid = status_of(asked, index).where("status = 200").select("request_id", "num_similar")
+    rows = found.groupBy("request_id").agg(F.count("*").alias("n"))
+    return valid.join(rows, "request_id", "left").select("request_id", "num_similar", F.coalesce("n", F.lit(0).cast("long")).alias("n_rows"))
+
+
 @query
 def request_details(spark, sf_dir):
     return answer_detailed(requests(spark, sf_dir), search_index(spark, sf_dir))

@@ -23,12 +23,25 @@ MODES = ("text_structured", "image", "combined")
 HYBRID_MODES = ("text_structured", "combined")
 
 
+# deviations above the score of its centre up to which a cell is expected to hold hits, where nothing was calibrated; cells
+# visited first; and the recall of the ten best that an index is calibrated for
+REACH = 3.0
+FIRST_CELLS = 4
+TARGET_RECALL = 0.95
+
+
 @dataclass(frozen=True)
 class Search:
-    """How dense neighbours are found: exactly, or among the items of the ``nprobe`` nearest cells."""
+    """How dense neighbours are found: exactly, or in cells.
+
+    ``ivf`` visits ``nprobe`` cells at first and more of them while lists are not full or the next cell is expected to
+    hold a hit: up to ``reach`` deviations above the score of its centre, by default as many as the index was
+    calibrated for; with None it stops only where no hit is possible.
+    """
 
     kind: str = "exact"
-    nprobe: int = 16
+    nprobe: int = FIRST_CELLS
+    reach: float | None | str = "calibrated"
 
     def __post_init__(self):
         if self.kind not in ("exact", "ivf") or self.nprobe < 1:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,9 +12,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from kindred.config import LIMITS, Limits
-from kindred.operators.dense import CellStats, assign_cells, learn_cells, meet_in_cells, nearest_cells, route
+from kindred.config import FIRST_CELLS, LIMITS, REACH, Limits
+from kindred.operators.dense import CellStats, assign_cells, exact_topk, learn_cells, meet_in_cells, nearest_cells, next_cells, route
 from kindred.operators.topk import top_k
+from kindred.session import path_exists, stored
 
 NO_FLOOR = float("-inf")
 EMPTY = "candidate_id string, vector array<float>, spread double, cell int"
@@ -27,6 +30,8 @@ class CellIndex:
 
     items: DataFrame
     centers: np.ndarray
+    # how far a widening search must look for the recall that the index was calibrated for
+    reach: float = REACH
 
     @staticmethod
     def build(
@@ -36,15 +41,23 @@ class CellIndex:
         item_id: str = "candidate_id",
         vector: str = "vector",
         seed: int = 42,
+        target: float | None = None,
     ) -> "CellIndex":
+        """``target`` is the recall to calibrate for; without it the default reach stays."""
         source = items.select(F.col(item_id).alias("candidate_id"), F.col(vector).alias("vector"))
-        return CellIndex.around(source, path, learn_cells(source, n_cells, seed))
+        index = CellIndex.around(source, path, learn_cells(source, n_cells, seed))
+        if target is None or not index.n_cells:
+            return index
+        reach = calibrated_reach(index, target=target, seed=seed)
+        items.sparkSession.createDataFrame([(reach,)], "reach double").coalesce(1).write.mode("overwrite").parquet(f"{path}/reach")
+        return CellIndex.read(items.sparkSession, path)
 
     @staticmethod
     def around(source: DataFrame, path: str, centers: np.ndarray) -> "CellIndex":
         """Items (candidate_id, vector) in the cells of given centres."""
         spark = source.sparkSession
-        assign_cells(source, centers).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/items")
+        # rebalancing keeps a cell's rows in few files and splits a cell too large for one task
+        assign_cells(source, centers).hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/items")
         spark.createDataFrame(
             [(i, [float(x) for x in c]) for i, c in enumerate(centers)], "cell int, center array<double>"
         ).write.mode("overwrite").parquet(f"{path}/centers")
@@ -55,18 +68,22 @@ class CellIndex:
         centers = spark.read.parquet(f"{path}/centers").orderBy("cell").collect()
         # without items there is no partition to infer anything from
         items = spark.read.parquet(f"{path}/items") if centers else spark.createDataFrame([], EMPTY)
-        return CellIndex(items, np.array([r["center"] for r in centers]))
+        reach = spark.read.parquet(f"{path}/reach").first()[0] if path_exists(spark, f"{path}/reach") else REACH
+        return CellIndex(items, np.array([r["center"] for r in centers]), reach)
 
     @property
     def n_cells(self) -> int:
         return len(self.centers)
 
+    @functools.cached_property
+    def stats(self) -> CellStats:
+        return CellStats.of(self.items, self.n_cells)
+
 
 def ivf_routes(queries: DataFrame, index: CellIndex, nprobe: int) -> DataFrame:
     """(query_id, vector, floor, cell) for the ``nprobe`` nearest non-empty cells of each query."""
-    stats = CellStats.of(index.items, index.n_cells)
     asked = queries.select("query_id", "vector", F.lit(NO_FLOOR).alias("floor"))
-    return route(asked, index.centers, nearest_cells(nprobe, stats.rows))
+    return route(asked, index.centers, nearest_cells(nprobe, index.stats.rows))
 
 
 def ivf_topk(
@@ -77,6 +94,82 @@ def ivf_topk(
     return top_k(meet_in_cells(ivf_routes(queries, index, nprobe), celled, k, decimals, limits), k)
 
 
+@dataclass(frozen=True)
+class Probed:
+    """What a widening search found, and the (query_id, cell) pairs it visited."""
+
+    found: DataFrame
+    visits: DataFrame
+
+
+def widening_search(
+    queries: DataFrame, index: CellIndex, k: int, nprobe: int, reach: float | None = REACH, decimals: int = 6, limits: Limits = LIMITS
+) -> Probed:
+    """Best k of each query by visits to cells in order of their bounds, until no further cell is expected to hold a hit.
+
+    The first round visits ``nprobe`` cells, each later one as many as all before.  A query stays open while its list is
+    shorter than k or the bound of its next cell (``CellStats.bounds``) reaches its k-th score, so lists are as long as
+    those of an exact search however uneven the cells are; with ``reach`` None they are the same.  A round is one
+    equi-join of the open queries with the cells they visit next, and a table in the shared folder.
+    """
+    celled = index.items.select("candidate_id", "vector", "cell")
+    if not index.n_cells:
+        nothing = queries.select("query_id", F.lit(0).alias("cell")).limit(0)
+        return Probed(exact_topk(queries, celled, k, decimals=decimals, limits=limits), nothing)
+    asked = stored(queries.select("query_id", "vector", F.lit(NO_FLOOR).alias("floor")), "asked")
+    everyone, found, visits = asked.drop("floor"), None, None
+    first, last = 0, max(1, nprobe)
+    while True:
+        cells = next_cells(first, last, index.stats, reach, 10.0**-decimals)
+        routed = stored(route(asked, index.centers, cells), "probes")
+        mine = routed.select("query_id", "cell")
+        visits = mine if visits is None else visits.unionByName(mine)
+        if found is not None and routed.isEmpty():
+            break
+        hits = meet_in_cells(routed, celled, k, decimals, limits)
+        found = stored(top_k(hits if found is None else found.drop("rank").unionByName(hits), k), "found")
+        if last >= index.n_cells:
+            break
+        first, last = last, 2 * last
+        reached = found.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+        asked = everyone.join(reached, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(NO_FLOOR)))
+    return Probed(found, visits)
+
+
+def calibrated_reach(
+    index: CellIndex, k: int = 10, target: float = 0.95, n_queries: int = 256, nprobe: int = FIRST_CELLS, seed: int = 42
+) -> float:
+    """The least reach with which a widening search from ``nprobe`` cells is expected to find a share ``target`` of the k best.
+
+    ``n_queries`` items, those first by a hash, are searched exactly.  A hit is found if its cell is among the first
+    ``nprobe`` or has a bound that reaches the query's k-th score.  The share found must be the target and the error of a
+    share over so many queries (one-sided, 95 %).  At most ``n_queries`` times k rows come to the driver.
+    """
+    items = index.items.select("candidate_id", "vector", "cell")
+    order = F.xxhash64(F.col("candidate_id").cast("string"), F.lit(seed))
+    sample = stored(items.orderBy(order, "candidate_id").limit(n_queries).select(F.col("candidate_id").alias("query_id"), "vector"), "sample")
+    hits = exact_topk(sample, items, k).join(items.select("candidate_id", "cell"), "candidate_id").select("query_id", "cell", "score").toPandas()
+    if not len(hits):
+        return REACH
+    asked = sample.toPandas()
+    v = np.stack(asked["vector"]).astype(np.float64)
+    place = hits["query_id"].map({q: i for i, q in enumerate(asked["query_id"])}).to_numpy()
+    cell, floor = hits["cell"].to_numpy(), hits.groupby("query_id")["score"].transform("min").to_numpy()
+    products, stats = v @ index.centers.T, index.stats
+
+    def found(reach: float) -> float:
+        bounds = stats.bounds(v, products, reach)
+        first = np.argsort(np.argsort(-bounds, axis=1, kind="stable"), axis=1) < nprobe
+        return float((first[place, cell] | (bounds[place, cell] >= floor - 1e-6)).mean())
+
+    share = min(1.0, target + 1.645 * (target * (1 - target) / len(asked)) ** 0.5)
+    unit = np.sqrt((v * v).sum(axis=1))[place] * stats.spread[cell] / v.shape[1] ** 0.5
+    needed = np.where(unit > 0, np.maximum(floor - products[place, cell], 0) / np.where(unit > 0, unit, 1), 0.0)
+    choices = np.unique(np.append(needed, 0.0))
+    at = bisect.bisect_left(choices, share, key=found)
+    return float(choices[min(at, len(choices) - 1)]) * (1 + 1e-6)
+
+
 def lsh_cells(
     table: DataFrame, dim: int, bucket_length: float, n_tables: int, seed: int = 42
 ) -> DataFrame:

@@ -301,18 +301,33 @@ def assign_cells(items: DataFrame, centers: np.ndarray) -> DataFrame:
 
 @dataclass(frozen=True)
 class CellStats:
-    """Per cell: how many items it holds and how far the farthest is from its centre."""
+    """Per cell: how many items it holds, how far the farthest is from its centre, and the root of the mean square of that."""
 
     rows: np.ndarray
     radius: np.ndarray
+    spread: np.ndarray
 
     @staticmethod
     def of(celled: DataFrame, n_cells: int) -> "CellStats":
-        rows, radius = np.zeros(n_cells), np.zeros(n_cells)
-        stats = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("spread").alias("r"))
+        rows, radius, spread = np.zeros(n_cells), np.zeros(n_cells), np.zeros(n_cells)
+        squares = F.sqrt(F.avg(F.col("spread") * F.col("spread"))).alias("s")
+        stats = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("spread").alias("r"), squares)
         for r in stats.collect():  # one row per cell
-            rows[r["cell"]], radius[r["cell"]] = r["n"], r["r"]
-        return CellStats(rows, radius)
+            rows[r["cell"]], radius[r["cell"]], spread[r["cell"]] = r["n"], r["r"], r["s"]
+        return CellStats(rows, radius, spread)
+
+    def bounds(self, v: np.ndarray, products: np.ndarray, reach: float | None) -> np.ndarray:
+        """What no item of a cell is expected to score more than, for each query and cell; -inf for empty cells.
+
+        For an item x of a cell with centre c and radius r, q.x <= q.c + |q| r, which is sure.  Where items lie around
+        their centre in all directions alike, at a root mean square distance s, q.x has the deviation |q| s / sqrt(d);
+        with ``reach`` the bound is so many of them above q.c, if that is less.
+        """
+        norm = np.sqrt((v * v).sum(axis=1))[:, None]
+        above = norm * self.radius
+        if reach is not None:
+            above = np.minimum(above, norm * self.spread * (reach / max(1, v.shape[1]) ** 0.5))
+        return np.where(self.rows > 0, products + above, -np.inf)
 
 
 def route(queries: DataFrame, centers: np.ndarray, choose) -> DataFrame:
@@ -371,15 +386,25 @@ def enough_cells(k: int, rows: np.ndarray):
 
 
 def promising_cells(k: int, stats: CellStats, slack: float):
-    """Mark the cells, beyond those of ``enough_cells``, that may hold a hit above the floor.
-
-    For an item x of a cell with centre c and radius r, q.x <= q.c + |q| r.
-    """
+    """Mark the cells, beyond those of ``enough_cells``, that may hold a hit above the floor."""
     first = enough_cells(k, stats.rows)
 
     def choose(v, floors, products, c):
-        bound = products + np.sqrt((v * v).sum(axis=1))[:, None] * stats.radius
-        return (bound >= floors[:, None] - slack) & ~first(v, floors, products, c) & (stats.rows > 0)
+        may = stats.bounds(v, products, None) >= floors[:, None] - slack
+        return may & ~first(v, floors, products, c) & (stats.rows > 0)
+
+    return choose
+
+
+def next_cells(first: int, last: int, stats: CellStats, reach: float | None, slack: float):
+    """Mark the cells from ``first`` to ``last`` in order of their bounds, as far as those reach the query's floor."""
+
+    def choose(v, floors, products, c):
+        bounds = stats.bounds(v, products, reach)
+        order = np.argsort(-bounds, axis=1, kind="stable")[:, first:last]
+        chosen = np.zeros(bounds.shape, dtype=bool)
+        np.put_along_axis(chosen, order, True, axis=1)
+        return chosen & (bounds >= floors[:, None] - slack) & (stats.rows > 0)
 
     return choose
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kindred.config import TOP_N_BRANDS, TOP_N_COLORS
+from kindred.config import TARGET_RECALL, TOP_N_BRANDS, TOP_N_COLORS
 from kindred.functions import vectors as v
 from kindred.functions.text import lexical_text
 from kindred.operators.ann import CellIndex
@@ -81,7 +81,7 @@ def build_index(
     for mode in ("text_structured",) if image_vectors is None else ("text_structured", "image", "combined"):
         dense = write_table(mode_vectors(vectors, mode), f"{path}/dense/{mode}")
         if n_cells:
-            CellIndex.build(dense, f"{path}/cells/{mode}", n_cells, item_id="uniq_id")
+            CellIndex.build(dense, f"{path}/cells/{mode}", n_cells, item_id="uniq_id", target=TARGET_RECALL)
     build_lexical(with_lexical_text(products), f"{path}/lexical")
     if purged is not None:
         write_table(purged, f"{path}/purged")

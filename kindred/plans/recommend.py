@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kindred.config import CANDIDATE_DEPTH, EXACT, HYBRID_MODES, LIMITS, RERANK_DEPTH, Limits, Search
 from kindred.functions.text import long_pair_text, short_pair_text
-from kindred.operators.ann import ivf_topk
+from kindred.operators.ann import widening_search
 from kindred.operators.dense import exact_topk
 from kindred.operators.fusion import rrf
 from kindred.operators.lexical import bm25_topk
@@ -28,7 +28,7 @@ def dense_candidates(
 ) -> DataFrame:
     """Ranked dense neighbours of the query products, the products themselves included.
 
-    Approximate lists may be shorter than ``depth`` where the probed cells hold fewer items.
+    Approximate lists are as long as exact ones.
     """
     if mode not in index.dense:
         raise ValueError(f"mode {mode!r} is not available: {index.modes}")
@@ -38,7 +38,9 @@ def dense_candidates(
         if mode not in index.cells:
             raise ValueError(f"the index has no cells for mode {mode!r}: build it with n_cells")
         asked = asked.select(F.col("uniq_id").alias("query_id"), "vector")
-        return ivf_topk(asked, index.cells[mode], depth, search.nprobe, limits=limits)
+        cells = index.cells[mode]
+        reach = cells.reach if search.reach == "calibrated" else search.reach
+        return widening_search(asked, cells, depth, search.nprobe, reach, limits=limits).found
     return exact_topk(asked, items, depth, query_id="uniq_id", item_id="uniq_id", limits=limits)
 
 
