@@ -336,6 +336,24 @@ def _queries() -> dict[str, str]:
         name = {"text_structured": "text"}.get(mode, mode)
         q[f"knn_exact_{name}"] = f"select query_id, candidate_id, score, rank from near_{mode} where rank <= 10"
     q["knn_ivf_all_cells"] = q["knn_ivf_widened"] = q["knn_exact_text"]
+    q["knn_pq_given_codebooks"] = """
+        with base as (select vec_id, embedding::double[] as v from embeddings),
+        subs as (select vec_id, j, v[j * 8 + 1 : j * 8 + 8] as x from base, range(8) t(j)),
+        words as (select vec_id as c, j, x as w from subs where vec_id < 16),
+        products as (select vec_id, j, c, list_inner_product(x, w) as t, list_inner_product(w, w) / 2 as half from subs join words using (j)),
+        codes as (select vec_id, j, c from products qualify row_number() over (partition by vec_id, j order by t - half desc, c) = 1),
+        near as (
+            select q.vec_id as query_id, i.vec_id as candidate_id, round(sum(t), 6) as score
+            from products q join codes i on i.j = q.j and i.c = q.c group by all
+        ),
+        short as (select query_id, candidate_id from near qualify row_number() over (partition by query_id order by score desc, candidate_id) <= 50),
+        exact as (
+            select query_id, candidate_id, round(list_inner_product(a.v, b.v), 6) as score
+            from short join base a on a.vec_id = query_id join base b on b.vec_id = candidate_id
+        )
+        select *, cast(row_number() over (partition by query_id order by score desc, candidate_id) as integer) as rank from exact
+        qualify rank <= 10
+    """
     q["knn_embeddings"] = """
       select query_id, candidate_id, score, rank from (select *, row_number() over (partition by query_id order by score desc, candidate_id) as rank
       from (select q.vec_id as query_id, i.vec_id as candidate_id,

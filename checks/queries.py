@@ -22,6 +22,7 @@ from kindred.operators.evaluate import jaccard_at_k, percentile_summary, recall_
 from kindred.operators.fusion import rrf
 from kindred.operators.lexical import LexicalIndex, bm25_topk, build_lexical
 from kindred.operators.purge import kept_ids, purge, purged_ids
+from kindred.operators.quantize import CodedIndex, Codebooks, coded_topk
 from kindred.operators.sample import first_middle_last, seeded_sample
 from kindred.plans import recommend as r
 from kindred.plans.build import availability as index_availability
@@ -332,6 +333,16 @@ def knn_ivf_widened(spark, sf_dir):
     return widening_search(queries, cells, 10, nprobe=1, reach=None).found
 
 
+@query
+def knn_pq_given_codebooks(spark, sf_dir):
+    """Codewords taken from the rows with the first ids: eight bytes a vector, fifty of all by codes, ten of them rescored."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("candidate_id"), F.col("embedding").alias("vector"))
+    first = np.array([r["vector"] for r in rows.where("candidate_id < 16").orderBy("candidate_id").collect()], dtype=float)
+    books = Codebooks(first.reshape(len(first), 8, -1).transpose(1, 0, 2), first.shape[1])
+    index = CodedIndex.around(rows, scratch_path(spark, "coded"), np.zeros((1, first.shape[1])), books)
+    return coded_topk(rows.withColumnRenamed("candidate_id", "query_id"), index, 10, nprobe=1, shortlist=50)
+
+
 @query
 def knn_lsh_candidates(spark, sf_dir):
     items = search_index(spark, sf_dir).dense["text_structured"]

@@ -7,6 +7,8 @@ keeps floating-point noise, which differs between plans, from reordering ties.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,7 +48,13 @@ def best_columns(
 
     ``items`` must be sorted by id, so that a lower column number wins a tie.
     """
-    n_q, n_i = len(queries), len(items)
+    return best_of(lambda start, stop: queries[start:stop] @ items.T, len(queries), len(items), k, decimals)
+
+
+def best_of(
+    scores_of: Callable[[int, int], np.ndarray], n_q: int, n_i: int, k: int, decimals: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """``best_columns`` of any scores: ``scores_of(start, stop)`` gives those of some queries with all items."""
     k = min(k, n_i)
     columns = np.empty((n_q, k), dtype=np.int64)
     scores = np.empty((n_q, k), dtype=np.float64)
@@ -54,7 +62,7 @@ def best_columns(
     tie = np.arange(n_i - 1, -1, -1, dtype=np.int64)
     step = max(1, _CELLS_AT_ONCE // max(1, n_i))
     for start in range(0, n_q, step):
-        rounded = np.floor(queries[start : start + step] @ items.T * unit + 0.5)
+        rounded = np.floor(scores_of(start, min(start + step, n_q)) * unit + 0.5)
         # one integer per cell that orders by score, then by id
         keys = rounded.astype(np.int64) * n_i + tie
         if k < n_i:

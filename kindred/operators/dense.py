@@ -14,7 +14,7 @@ sizes:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import ceil
 
@@ -178,7 +178,13 @@ def _exploded(hits: DataFrame) -> DataFrame:
 
 
 def meet_in_cells(
-    routed: DataFrame, celled: DataFrame, k: int, decimals: int = 6, limits: Limits = LIMITS
+    routed: DataFrame,
+    celled: DataFrame,
+    k: int,
+    decimals: int = 6,
+    limits: Limits = LIMITS,
+    item: str = "vector",
+    best: Callable[[int, np.ndarray, pa.ChunkedArray], Callable[[int, int], np.ndarray]] | None = None,
 ) -> DataFrame:
     """Score queries against the items of the cells they were routed to.
 
@@ -187,6 +193,9 @@ def meet_in_cells(
     queries, so a task holds one bounded block of either side however large the
     cell is, and emits at most k hits per query of it.  Result: unranked
     (query_id, candidate_id, score).
+
+    Items may come as another column ``item`` than their vectors; ``best(cell, queries, items)`` then gives the
+    function that scores some of the queries with all of the items.
     """
     q_rows = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("q_rows"))
     i_rows = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("i_rows"))
@@ -205,7 +214,7 @@ def meet_in_cells(
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
     )
     right = celled.join(splits, "cell").select(
-        *own("cell", "candidate_id", "vector"),
+        *own("cell", "candidate_id", item),
         F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
         F.expr("cast(pmod(xxhash64(candidate_id), parts) as int)").alias("part"),
     )
@@ -215,8 +224,15 @@ def meet_in_cells(
     def score(queries: pa.Table, items: pa.Table) -> pa.Table:
         if not queries.num_rows or not items.num_rows:
             return arrow_schema.empty_table()
-        ids, vectors = blocks.sorted_block(items["candidate_id"], items["vector"])
-        columns, scores = blocks.best_columns(blocks.matrix(queries["vector"]), vectors, k, decimals)
+        asked = blocks.matrix(queries["vector"])
+        if best is None:
+            ids, vectors = blocks.sorted_block(items["candidate_id"], items["vector"])
+            columns, scores = blocks.best_columns(asked, vectors, k, decimals)
+        else:
+            items = items.sort_by("candidate_id")
+            ids = items["candidate_id"].combine_chunks()
+            scores_of = best(items["cell"][0].as_py(), asked, items[item])
+            columns, scores = blocks.best_of(scores_of, len(asked), len(ids), k, decimals)
         query_ids = queries["query_id"].combine_chunks()
         floors = queries["floor"].to_numpy()
         batch = blocks.hit_lists(query_ids, ids, columns, scores, arrow_schema, floors)
