@@ -233,6 +233,13 @@ STEPS["modelled"] = f"""
 select uniq_id, case when cast(uniq_id as bigint) % 7 = 0 then [0e0, 0e0, 0e0]
   else cast(cast({unit('[len(product_name), 2e0 * len(product_name), len(product_name) + 3e0]')} as float[]) as double[]) end as v
 from clean"""
+STEPS["modelled_images"] = f"""
+select uniq_id, case when cast(uniq_id as bigint) % 5 = 0 then [0e0, 0e0, 0e0]
+  else cast(cast({unit('[cast(strlen(product_name) as double), 3e0, cast(strlen(product_name) % 5 as double)]')} as float[]) as double[]) end as v
+from clean"""
+STEPS["purged_ones"] = """
+select uniq_id from vectors where list_dot_product(cast(image_vector as double[]), cast(image_vector as double[])) <= 1e-10"""
+STEPS["left_over"] = "select * from clean where uniq_id not in (select uniq_id from purged_ones)"
 STEPS["near_all_centers"] = """
 select vec_id, cast(embedding as double[]) as v, cell,
   list_dot_product(cast(embedding as double[]), c) - list_dot_product(c, c) / 2 as closeness
@@ -419,6 +426,25 @@ def _queries() -> dict[str, str]:
     q["encoder_roundtrip"] = q["onehot_assemble"]
     q["ndjson_catalogue"] = q["clean_catalogue"]
     q["model_vectors"] = elements("modelled", "v")
+    q["image_model_vectors"] = elements("modelled_images", "v")
+    q["clean_without_optional_columns"] = f"""select c.* replace (k.color as color, 0e0 as discount_percentage, 0e0 as no_of_reviews)
+      from clean c join (select uniq_id, {kv_color('product_details__k_v_pairs')} as color from raw) k on k.uniq_id = c.uniq_id"""
+    q["measurements_roundtrip"] = """select event_type, count(*) as n, round(avg(value), 6) as mean, max(value) as most from events group by 1"""
+    largest = "(select count(*) - 1 from left_over)"
+    tests = [
+        ("num_similar <= 0", 422, "'num_similar must be above 0'"),
+        ("product_id in (select uniq_id from purged_ones)", 404, "'product was purged: dead image link'"),
+        ("product_id not in (select uniq_id from clean)", 404, "'product not found'"),
+        ("mode not in ('text_structured', 'image', 'combined')", 422, "'mode not available'"),
+        (f"num_similar > {largest}", 400, f"'num_similar exceeds maximum (' || {largest} || ')'"),
+    ]
+    q["purged_request_status"] = f"""select request_id, product_id, num_similar, mode,
+      case {' '.join(f'when {t} then {code}' for t, code, _ in tests)} else 200 end as status,
+      case {' '.join(f'when {t} then {why}' for t, _, why in tests)} else 'ok' end as reason from requests"""
+    q["purged_product_lookup"] = f"""select product_id, case when l.uniq_id is null then 404 else 200 end as status,
+      case when l.uniq_id is not null then 'ok' when p.uniq_id is not null then 'product was purged: dead image link'
+        else 'product not found' end as reason, {fields}
+      from requests left join left_over l on l.uniq_id = product_id left join purged_ones p on p.uniq_id = product_id"""
     q["availability"] = """select count(*) as products_indexed, 'text_structured,image,combined' as available_modes from clean"""
     q["product_card"] = "select uniq_id, product_name, brand, sales_price, rating, color, categories, image_url from clean"
     q["recall_at_k"] = """select e.query_id, count(a.candidate_id) / 10e0 as recall

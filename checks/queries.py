@@ -15,7 +15,7 @@ from kindred.config import HYBRID_MODES, MODES, Search
 from kindred.functions import clean as c, text as t, vectors as v
 from kindred.operators import profile
 from kindred.operators.ann import CellIndex, ivf_topk, lsh_topk, widening_search
-from kindred.operators.attach import attach_text_vectors, count_present, hashed_text_vectors
+from kindred.operators.attach import attach_image_vectors, attach_text_vectors, count_present, hashed_text_vectors
 from kindred.operators.dense import exact_topk
 from kindred.operators.encode import NUMERIC, StructuredEncoder, StructuredModel
 from kindred.operators.evaluate import jaccard_at_k, percentile_summary, recall_at_k
@@ -25,12 +25,12 @@ from kindred.operators.purge import kept_ids, purge, purged_ids
 from kindred.operators.quantize import CodedIndex, Codebooks, coded_topk
 from kindred.operators.sample import first_middle_last, seeded_sample
 from kindred.plans import recommend as r
-from kindred.plans.build import availability as index_availability
+from kindred.plans.build import availability as index_availability, load_or_build, purge_index
 from kindred.plans.compare import compare_engines
 from kindred.plans.requests import answer, answer_detailed, product_lookup as lookup, request_status as status_of
 from kindred.session import path_exists, scratch_path, stored
-from kindred.sources.artifacts import SearchIndex
-from kindred.sources.catalogue import load_and_clean, product_card as card
+from kindred.sources.artifacts import SearchIndex, read_purged, write_measurements
+from kindred.sources.catalogue import clean as clean_rows, load_and_clean, product_card as card
 
 STRING = T.StringType()
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,6 +297,31 @@ def model_vectors(spark, sf_dir):
     return elements(attach_text_vectors(named, "name", load, dim=3), F.col("text_vector"))
 
 
+@query
+def image_model_vectors(spark, sf_dir):
+    """Image vectors of a stand-in for a model, from stored bytes: their number, 3, and their number modulo 5; no bytes, no vector."""
+
+    def load():
+        def predict(images: np.ndarray) -> np.ndarray:
+            n = np.array([len(x) for x in images], np.float32)
+            return np.stack([n, np.full_like(n, 3), n % 5], axis=1)
+
+        return predict
+
+    # a fifth of the products has no image here
+    stored_bytes = products(spark, sf_dir).select(
+        "uniq_id", F.when(F.col("uniq_id").cast("long") % 5 != 0, F.encode("product_name", "utf-8")).alias("content")
+    )
+    return elements(attach_image_vectors(stored_bytes, "content", load, dim=3), F.col("image_vector"))
+
+
+@query
+def clean_without_optional_columns(spark, sf_dir):
+    """A raw catalogue that lacks colour, discounts and reviews: the colour comes from the details, the numbers are 0."""
+    raw = raw_catalogue(spark, sf_dir).drop("colour", "discount_percentage", "no__of_reviews")
+    return clean_rows(raw)
+
+
 @query
 def ndjson_catalogue(spark, sf_dir):
     """The raw catalogue written as JSON lines, read back and cleaned."""
@@ -550,6 +575,23 @@ def purge_missing_image(spark, sf_dir):
 REGISTRY["purged_ids"] = lambda spark, sf_dir: purged_ids(product_vectors(spark, sf_dir))
 
 
+def purged_index(spark, sf_dir) -> SearchIndex:
+    """The index after the purge of products without an image, its purged ids read from their file."""
+    path = own_path(spark, sf_dir, "purged")
+    index = load_or_build(spark, path, lambda p: purge_index(search_index(spark, sf_dir), p))
+    return replace(index, purged=read_purged(spark, f"{path}/purged"))
+
+
+@query
+def purged_request_status(spark, sf_dir):
+    return status_of(requests(spark, sf_dir), purged_index(spark, sf_dir))
+
+
+@query
+def purged_product_lookup(spark, sf_dir):
+    return lookup(requests(spark, sf_dir), purged_index(spark, sf_dir))
+
+
 # --- evaluation, profile, samples, artifacts ---------------------------------------------
 
 
@@ -615,6 +657,15 @@ REGISTRY["first_middle_last"] = lambda spark, sf_dir: first_middle_last(
 )
 
 
+@query
+def measurements_roundtrip(spark, sf_dir):
+    """Measurements of the events by type, written as JSON lines and read back."""
+    path = scratch_path(spark, "measurements")
+    by_type = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), rounded(F.avg("value")).alias("mean"), F.max("value").alias("most"))
+    write_measurements(by_type, path)
+    return spark.read.schema(by_type.schema).json(path)
+
+
 @query
 def artifact_roundtrip(spark, sf_dir):
     index = search_index(spark, sf_dir)

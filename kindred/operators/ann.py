@@ -48,9 +48,13 @@ class CellIndex:
         index = CellIndex.around(source, path, learn_cells(source, n_cells, seed))
         if target is None or not index.n_cells:
             return index
-        reach = calibrated_reach(index, target=target, seed=seed)
-        items.sparkSession.createDataFrame([(reach,)], "reach double").coalesce(1).write.mode("overwrite").parquet(f"{path}/reach")
-        return CellIndex.read(items.sparkSession, path)
+        return index.reaching(path, calibrated_reach(index, target=target, seed=seed))
+
+    def reaching(self, path: str, reach: float) -> "CellIndex":
+        """The same index with a calibrated reach, written beside its tables at ``path``."""
+        spark = self.items.sparkSession
+        spark.createDataFrame([(reach,)], "reach double").coalesce(1).write.mode("overwrite").parquet(f"{path}/reach")
+        return CellIndex.read(spark, path)
 
     @staticmethod
     def around(source: DataFrame, path: str, centers: np.ndarray) -> "CellIndex":

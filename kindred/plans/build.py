@@ -49,9 +49,12 @@ def build_index(
     encoder: StructuredModel | None = None,
     purged: DataFrame | None = None,
     n_cells: int | None = None,
+    cells: dict[str, CellIndex] | None = None,
 ) -> SearchIndex:
     """Write every table of an index.
 
+    ``cells`` of another index of like products lend their centres and reach to this one, which then learns none.
+
     ``n_cells`` also writes each mode's vectors in so many k-means cells, for approximate search; about the square root of
     the number of products is a good number.
 
@@ -80,7 +83,10 @@ def build_index(
     vectors = write_table(vectors, f"{path}/vectors")
     for mode in ("text_structured",) if image_vectors is None else ("text_structured", "image", "combined"):
         dense = write_table(mode_vectors(vectors, mode), f"{path}/dense/{mode}")
-        if n_cells:
+        if cells and mode in cells:
+            around = dense.withColumnRenamed("uniq_id", "candidate_id")
+            CellIndex.around(around, f"{path}/cells/{mode}", cells[mode].centers).reaching(f"{path}/cells/{mode}", cells[mode].reach)
+        elif n_cells:
             CellIndex.build(dense, f"{path}/cells/{mode}", n_cells, item_id="uniq_id", target=TARGET_RECALL)
     build_lexical(with_lexical_text(products), f"{path}/lexical")
     if purged is not None:
@@ -106,7 +112,7 @@ def _check_vectors(products: DataFrame, vectors: DataFrame, name: str, required:
 
 
 def purge_index(index: SearchIndex, path: str) -> SearchIndex:
-    """a new index without the products that have no image; the encoder is not fitted again."""
+    """a new index without the products that have no image; neither the encoder nor the cells are fitted again."""
     kept = kept_ids(index.vectors)
     vectors = purge(index.vectors, kept)
     return build_index(
@@ -116,7 +122,7 @@ def purge_index(index: SearchIndex, path: str) -> SearchIndex:
         image_vectors=vectors.select("uniq_id", "image_vector"),
         encoder=index.encoder,
         purged=index.purged.unionByName(purged_ids(index.vectors)),
-        n_cells=max((c.n_cells for c in index.cells.values()), default=None),
+        cells=index.cells,
     )
 
 
