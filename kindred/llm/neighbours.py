@@ -4,6 +4,10 @@ Vectors get one more component that makes all of them equally long, so the large
 distance; a random rotation spreads each distance evenly over all components.  A list keeps its rotated vectors in
 blocks of columns.  After each block a test compares the distance so far with the best known ones, and drops
 candidates that are, with high probability, too far away.
+
+A query goes through its nearest lists first; the last of what it finds there limits the scan of all its other lists, so
+the test works from their first candidate on, however short they are.  There are as many lists as the square root of the
+number of vectors, and as many of them are probed as a hashed sample of queries, searched exactly, needs.
 """
 
 from __future__ import annotations
@@ -14,12 +18,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from kindred.llm.common import store
+from kindred.llm.common import drop, store
 
 # vectors on which the lists' centres are fitted, or up to twice as many
-FIT_ROWS = 20_000
-LISTS = 32
-PROBES = 26
+FIT_ROWS = 32_000
+# most lists: centres are broadcast
+MAX_LISTS = 2048
+# share of the true neighbours that must lie in probed lists, and the queries of the sample that measures it, or up to
+# twice as many
+TARGET = 0.975
+TRIAL_QUERIES = 256
+# rows that the lists searched first should hold, in multiples of k
+FIRST_DEPTH = 3
 # columns of a block of the scan
 BLOCK_DIMS = 16
 # deviations by which a partial distance must exceed what is expected of a near vector
@@ -53,9 +63,10 @@ def usable(column: str) -> Column:
     return F.coalesce(c.isNotNull() & (F.size(c) > 0) & finite & F.exists(c, lambda x: x != 0), F.lit(False))
 
 
-def fit(vectors: DataFrame, lists: int = LISTS, fit_rows: int = FIT_ROWS, seed: int = 5, rounds: int = 12) -> Index | None:
+def fit(vectors: DataFrame, lists: int | None = None, fit_rows: int = FIT_ROWS, seed: int = 5, rounds: int = 12) -> Index | None:
     """An index of (vec_id, embedding), usable vectors of one length; None if there are none.
 
+    ``lists`` is the square root of the number of vectors, but at most MAX_LISTS, if not given.
     The longest vector is found among all rows; centres come from k-means on some ``fit_rows`` rows (less than twice as
     many), chosen by a hash of id and vector.
     """
@@ -71,9 +82,11 @@ def fit(vectors: DataFrame, lists: int = LISTS, fit_rows: int = FIT_ROWS, seed:
     sample = vectors.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(every)) == 0).select("embedding").toPandas()
     points = index.fill(np.stack(sample["embedding"].to_numpy()).astype(np.float64))
     points = np.unique(points, axis=0)
+    lists = lists or min(MAX_LISTS, max(1, round(sizes.n**0.5)))
     centres = points[rng.choice(len(points), min(lists, len(points)), replace=False)]
     for _ in range(rounds):
-        near = np.argmin((centres**2).sum(axis=1) - 2 * points @ centres.T, axis=1)
+        lengths = (centres**2).sum(axis=1)
+        near = np.concatenate([np.argmin(lengths - 2 * points[a : a + 4096] @ centres.T, axis=1) for a in range(0, len(points), 4096)])
         held = np.bincount(near, minlength=len(centres))
         sums = np.zeros_like(centres)
         np.add.at(sums, near, points)
@@ -123,7 +136,10 @@ def search_part(
     part: pd.DataFrame, asked: pd.DataFrame, index: Index, k: int, block_dims: int = BLOCK_DIMS, confidence: float = CONFIDENCE,
     chunk: int = 1024, batch: int = 256,
 ) -> pd.DataFrame:
-    """The best ``k`` of one part of a list for each query, with exact inner products in double precision."""
+    """The best ``k`` of one part of a list for each query, with exact inner products in double precision.
+
+    A query with a ``floor`` needs no candidate with a smaller product.
+    """
     out: list[pd.DataFrame] = []
     if len(part) and len(asked):
         vectors, ids = np.stack(part["embedding"].to_numpy()).astype(np.float64), part["vec_id"].to_numpy()
@@ -133,11 +149,17 @@ def search_part(
             queries, names = np.stack(own["embedding"].to_numpy()).astype(np.float64), own["query_id"].to_numpy()
             turned = index.ask(queries)
             base = np.einsum("ij,ij->i", queries, queries) + index.longest
-            limits = np.full(len(own), np.inf)
+            floors = own["floor"].to_numpy(np.float64, na_value=np.nan)
+            # a hair more than the last, so that equals with smaller ids are still seen
+            given = np.where(np.isnan(floors), np.inf, np.maximum(base - 2 * floors, 0))
+            limits = given.copy()
             row, best_id, best = np.zeros(0, np.int64), np.zeros(0, ids.dtype), np.zeros(0)
-            for start in range(0, len(ids), chunk):
-                q, x, far, _ = scan(rotated[start : start + chunk], turned, limits, block_dims, confidence)
-                if start == 0 and len(ids) > 2 * k:
+            # the first chunk is short where it must find the limits for the others
+            opening = FIRST_DEPTH * k if np.isinf(limits).any() else chunk
+            starts = [0, *range(opening, len(ids), chunk)]
+            for start, stop in zip(starts, [*starts[1:], len(ids)]):
+                q, x, far, _ = scan(rotated[start:stop], turned, limits, block_dims, confidence)
+                if start == 0 and len(ids) > 2 * k and np.isinf(limits).all():
                     # nothing is known yet: of each query's first chunk only the k nearest, with ties and itself, matter
                     table = far.reshape(len(own), -1)
                     if table.shape[1] > k + 1:
@@ -156,14 +178,13 @@ def search_part(
                 row, best_id, best = row[place < k], best_id[kept], score[kept]
                 full = np.flatnonzero(np.bincount(row, minlength=len(own)) == k)
                 ends = np.searchsorted(row, full, side="right") - 1
-                # a hair more than the last, so that equals with smaller ids are still seen
-                limits[full] = np.maximum(base[full] - 2 * best[ends], 0)
+                limits[full] = np.minimum(given[full], np.maximum(base[full] - 2 * best[ends], 0))
             out.append(pd.DataFrame({"query_id": names[row], "vec_id": best_id, "score": best}))
     return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
 
 
 def assign(vectors: DataFrame, index: Index, probes: int, id_name: str) -> DataFrame:
-    """(id, embedding, list) with one row for each of the ``probes`` nearest lists."""
+    """(id, embedding, list, place) with one row for each of the ``probes`` nearest lists, numbered from 0 by ``place``."""
     shared = vectors.sparkSession.sparkContext.broadcast(index)
 
     def run(frames):
@@ -173,18 +194,70 @@ def assign(vectors: DataFrame, index: Index, probes: int, id_name: str) -> DataF
                 continue
             raw = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
             filled = own.fill(raw) if probes == 1 else own.ask(raw)
-            far = (own.centres**2).sum(axis=1) - 2 * filled @ own.centres.T
-            near = np.argsort(far, axis=1, kind="stable")[:, : min(probes, len(own.centres))]
+            near = nearest_lists(own, filled, probes)
             yield pd.DataFrame(
-                {id_name: frame[id_name].repeat(near.shape[1]).to_numpy(), "embedding": frame["embedding"].repeat(near.shape[1]).to_numpy(), "list": near.ravel().astype(np.int32)}
+                {
+                    id_name: frame[id_name].repeat(near.shape[1]).to_numpy(),
+                    "embedding": frame["embedding"].repeat(near.shape[1]).to_numpy(),
+                    "list": near.ravel().astype(np.int32),
+                    "place": np.tile(np.arange(near.shape[1], dtype=np.int32), len(near)),
+                }
             )
 
     kind = vectors.schema["embedding"].dataType.simpleString()
-    return vectors.select(id_name, "embedding").mapInPandas(run, f"{id_name} long, embedding {kind}, list int")
+    return vectors.select(id_name, "embedding").mapInPandas(run, f"{id_name} long, embedding {kind}, list int, place int")
+
+
+def nearest_lists(index: Index, filled: np.ndarray, probes: int) -> np.ndarray:
+    """For each rotated vector its ``probes`` nearest lists, nearest first."""
+    far = (index.centres**2).sum(axis=1) - 2 * filled @ index.centres.T
+    return np.argsort(far, axis=1, kind="stable")[:, : min(probes, len(index.centres))]
+
+
+def measured_probes(placed: DataFrame, index: Index, k: int, target: float = TARGET, trial_queries: int = TRIAL_QUERIES, batch: int = 1024) -> int:
+    """The fewest lists that hold a share ``target`` of the ``k`` nearest of some ``trial_queries`` vectors of ``placed``.
+
+    The trial queries, fewer than twice as many and chosen by a hash, are compared with all vectors, in blocks; each task
+    keeps k of a query, and at most that many rows a query come to the driver.  The share asked for is raised by what a
+    sample of so many queries may err (one-sided, 95 %).
+    """
+    rows = placed.count()
+    every = max(1, rows // trial_queries)
+    trial = placed.where(F.pmod(F.xxhash64("vec_id", "embedding", F.lit(7)), F.lit(every)) == 0).select("vec_id", "embedding").toPandas()
+    if not len(trial):
+        return len(index.centres)
+    queries, names = np.stack(trial["embedding"].to_numpy()).astype(np.float64), trial["vec_id"].to_numpy()
+    shared = placed.sparkSession.sparkContext.broadcast((queries, names))
+
+    def best(frames):
+        mine, own = shared.value
+        for frame in frames:
+            for at in range(0, len(frame), batch):
+                part = frame.iloc[at : at + batch]
+                ids = part["vec_id"].to_numpy()
+                score = np.stack(part["embedding"].to_numpy()).astype(np.float64) @ mine.T
+                score[ids[:, None] == own] = -np.inf
+                keep = min(k, len(ids))
+                top = np.argpartition(-score, keep - 1, axis=0)[:keep]
+                frame_out = pd.DataFrame({
+                    "trial": np.tile(np.arange(len(own)), keep), "list": part["list"].to_numpy()[top].ravel(),
+                    "vec_id": ids[top].ravel(), "score": np.take_along_axis(score, top, axis=0).ravel(),
+                })
+                yield frame_out[np.isfinite(frame_out["score"])]
+
+    by = Window.partitionBy("trial").orderBy(F.desc("score"), "vec_id")
+    hits = placed.mapInPandas(best, "trial int, list int, vec_id long, score double")
+    hits = hits.withColumn("n", F.row_number().over(by)).where(F.col("n") <= k).select("trial", "list").toPandas()
+    if not len(hits):
+        return len(index.centres)
+    order = np.argsort(nearest_lists(index, index.ask(queries), len(index.centres)), axis=1)
+    depth = np.sort(order[hits["trial"].to_numpy(), hits["list"].to_numpy()])
+    share = min(1.0, target + 1.645 * (target * (1 - target) / len(hits)) ** 0.5)
+    return int(depth[min(len(depth) - 1, int(np.ceil(share * len(depth))) - 1)]) + 1
 
 
 def search(
-    vectors: DataFrame, queries: DataFrame, k: int = 20, lists: int = LISTS, probes: int = PROBES, fit_rows: int = FIT_ROWS,
+    vectors: DataFrame, queries: DataFrame, k: int = 20, lists: int | None = None, probes: int | None = None, fit_rows: int = FIT_ROWS,
     confidence: float = CONFIDENCE, part_rows: int = PART_ROWS, slice_queries: int = SLICE_QUERIES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of (vec_id, embedding) for each of (query_id, embedding).
@@ -194,22 +267,61 @@ def search(
     Repeated rows of one id are one candidate if their vectors are equal, else count as they are.  Lists of many rows are
     cut into parts, and their queries into slices, so a task holds no more than a part and a slice however the vectors
     crowd.  Other columns are ignored.  No usable vectors, no rows.
+
+    Without ``lists`` their number follows that of the vectors; without ``probes`` it is measured (``measured_probes``).
+    A query gets all candidates if they are fewer than ``k``, and ``k`` of them always: one whose probed lists hold fewer
+    goes through all lists.
     """
     items = vectors.select(F.col("vec_id").cast("long"), "embedding").where(F.col("vec_id").isNotNull() & usable("embedding")).distinct()
     asked = queries.select(F.col("query_id").cast("long"), "embedding").where(F.col("query_id").isNotNull() & usable("embedding")).distinct()
-    items, _ = store(items, "vectors")
+    items, items_path = store(items, "vectors")
     index = fit(items, lists, fit_rows)
-    found_schema = "query_id long, vec_id long, score double"
     spark = vectors.sparkSession
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    placed, _ = store(assign(items, index, 1, "vec_id"), "lists")
-    probing, _ = store(assign(asked, index, probes, "query_id"), "probes")
-    shared = spark.sparkContext.broadcast(index)
+    placed, _ = store(assign(items, index, 1, "vec_id").drop("place"), "lists")
+    drop(spark, items_path)
     # one number for each list: bounded by the number of lists
-    parts = {r["list"]: -(-r["count"] // part_rows) for r in placed.groupBy("list").count().collect()}
+    held = {r["list"]: r["count"] for r in placed.groupBy("list").count().collect()}
+    probes = probes or measured_probes(placed, index, k)
+    # lists of middling size that hold FIRST_DEPTH times k rows: what a query goes through first, without a limit
+    middling = max(1, sorted(held.values())[len(held) // 2])
+    first = min(probes, -(-FIRST_DEPTH * k // middling))
+    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def through(probing: DataFrame) -> DataFrame:
+        return meet(placed, probing, held, index, k, confidence, part_rows, slice_queries)
+
+    def best(hits: DataFrame) -> DataFrame:
+        # ranked in tasks first, so that no more than k rows of a query leave one
+        return hits.distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
+
+    def floors(found: DataFrame) -> DataFrame:
+        return found.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+
+    near = assign(asked, index, probes, "query_id")
+    none = F.lit(None).cast("double").alias("floor")
+    found, _ = store(best(through(near.where(F.col("place") < first).select("*", none))), "first")
+    if probes > first:
+        rest = near.where(F.col("place") >= first).join(floors(found), "query_id", "left")
+        found, _ = store(best(through(rest).unionByName(found.drop("rank"))), "probed")
+    if probes < len(index.centres):
+        # few: queries whose probed lists hold less than k candidates
+        short = asked.join(floors(found), "query_id", "left_anti")
+        others = assign(short, index, len(index.centres), "query_id").where(F.col("place") >= probes).select("*", none)
+        found = best(through(others).unionByName(found.drop("rank")))
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def meet(
+    placed: DataFrame, probing: DataFrame, held: dict[int, int], index: Index, k: int, confidence: float, part_rows: int, slice_queries: int
+) -> DataFrame:
+    """(query_id, vec_id, score): candidates of (vec_id, embedding, list) that (query_id, embedding, list, floor) finds."""
+    spark = placed.sparkSession
+    shared = spark.sparkContext.broadcast(index)
+    probing, _ = store(probing, "probes")
     slices = {r["list"]: -(-r["count"] // slice_queries) for r in probing.groupBy("list").count().collect()}
-    shape = spark.createDataFrame([(x, parts[x], slices.get(x, 1)) for x in parts], "list int, parts long, slices long")
+    shape = spark.createDataFrame([(x, -(-held[x] // part_rows), slices[x]) for x in held if x in slices], "list int, parts long, slices long")
     cut = placed.join(F.broadcast(shape), "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts")).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
     into = probing.join(F.broadcast(shape), "list").withColumn("slice", F.pmod(F.xxhash64("query_id"), "slices")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     keys = ["list", "part", "slice"]
@@ -217,8 +329,6 @@ def search(
     def find(part: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         return search_part(part, asked, shared.value, k, confidence=confidence)
 
-    hits = cut.select(*keys, "vec_id", "embedding").groupBy(*keys).cogroup(into.select(*keys, "query_id", "embedding").groupBy(*keys)).applyInPandas(find, found_schema)
-    # ranked in tasks first, so that no more than k rows of a query leave one
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = hits.distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    left = cut.select(*keys, "vec_id", "embedding").groupBy(*keys)
+    right = into.select(*keys, "query_id", "embedding", "floor").groupBy(*keys)
+    return left.cogroup(right).applyInPandas(find, "query_id long, vec_id long, score double")
