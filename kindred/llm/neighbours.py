@@ -195,17 +195,11 @@ def assign(vectors: DataFrame, index: Index, probes: int, id_name: str) -> DataF
             raw = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
             filled = own.fill(raw) if probes == 1 else own.ask(raw)
             near = nearest_lists(own, filled, probes)
-            yield pd.DataFrame(
-                {
-                    id_name: frame[id_name].repeat(near.shape[1]).to_numpy(),
-                    "embedding": frame["embedding"].repeat(near.shape[1]).to_numpy(),
-                    "list": near.ravel().astype(np.int32),
-                    "place": np.tile(np.arange(near.shape[1], dtype=np.int32), len(near)),
-                }
-            )
+            yield pd.DataFrame({id_name: frame[id_name], "embedding": frame["embedding"], "lists": list(near.astype(np.int32))})
 
     kind = vectors.schema["embedding"].dataType.simpleString()
-    return vectors.select(id_name, "embedding").mapInPandas(run, f"{id_name} long, embedding {kind}, list int, place int")
+    chosen = vectors.select(id_name, "embedding").mapInPandas(run, f"{id_name} long, embedding {kind}, lists array<int>")
+    return chosen.select(id_name, "embedding", F.posexplode("lists").alias("place", "list"))
 
 
 def nearest_lists(index: Index, filled: np.ndarray, probes: int) -> np.ndarray:
