@@ -361,6 +361,19 @@ def _queries() -> dict[str, str]:
         select *, cast(row_number() over (partition by query_id order by score desc, candidate_id) as integer) as rank from exact
         qualify rank <= 10
     """
+    hop = """select b from {r} union select e.b from edges e join {r} r on e.a = r.b"""
+    q["knn_graph_given_edges"] = f"""
+        with base as (select vec_id, embedding::double[] as v from embeddings),
+        edges as (select a, b from (select vec_id as a, unnest([3 * vec_id + 1, vec_id + 17, vec_id // 2]) as b from base) where b in (select vec_id from base)),
+        r0 as (select vec_id as b from base where vec_id < 8),
+        r1 as ({hop.format(r="r0")}), r2 as ({hop.format(r="r1")}), r3 as ({hop.format(r="r2")}),
+        scored as (
+            select q.vec_id as query_id, i.vec_id as candidate_id, round(list_inner_product(q.v, i.v), 6) as score
+            from base i join r3 on r3.b = i.vec_id, base q where q.vec_id % 100 = 0
+        )
+        select *, cast(row_number() over (partition by query_id order by score desc, candidate_id) as integer) as rank from scored
+        qualify rank <= 10
+    """
     q["knn_embeddings"] = """
       select query_id, candidate_id, score, rank from (select *, row_number() over (partition by query_id order by score desc, candidate_id) as rank
       from (select q.vec_id as query_id, i.vec_id as candidate_id,

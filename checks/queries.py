@@ -22,6 +22,7 @@ from kindred.operators.evaluate import jaccard_at_k, percentile_summary, recall_
 from kindred.operators.fusion import rrf
 from kindred.operators.lexical import LexicalIndex, bm25_topk, build_lexical
 from kindred.operators.purge import kept_ids, purge, purged_ids
+from kindred.operators.proximity import GraphIndex, graph_topk
 from kindred.operators.quantize import CodedIndex, Codebooks, coded_topk
 from kindred.operators.sample import first_middle_last, seeded_sample
 from kindred.plans import recommend as r
@@ -368,6 +369,25 @@ def knn_pq_given_codebooks(spark, sf_dir):
     return coded_topk(rows.withColumnRenamed("candidate_id", "query_id"), index, 10, nprobe=1, shortlist=50)
 
 
+@query
+def knn_graph(spark, sf_dir):
+    """Every hundredth vector against all, on a graph learned by descent."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("candidate_id"), F.col("embedding").alias("vector"))
+    graph = GraphIndex.build(rows, scratch_path(spark, "graph"))
+    return graph_topk(rows.where("candidate_id % 100 = 0").withColumnRenamed("candidate_id", "query_id"), graph, 10).found
+
+
+@query
+def knn_graph_given_edges(spark, sf_dir):
+    """Edges by a rule on the ids, so that SQL can go the same three hops from the same entries."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("candidate_id"), F.col("embedding").alias("vector"))
+    to = F.explode(F.array(F.expr("3 * candidate_id + 1"), F.expr("candidate_id + 17"), F.expr("candidate_id div 2")))
+    edges = rows.select("candidate_id", to.alias("neighbour")).join(rows.select(F.col("candidate_id").alias("neighbour")), "neighbour", "left_semi")
+    graph = GraphIndex.around(rows, edges, rows.where("candidate_id < 8"))
+    queries = rows.where("candidate_id % 100 = 0").withColumnRenamed("candidate_id", "query_id")
+    return graph_topk(queries, graph, 10, beam=1000, hops=3).found
+
+
 @query
 def knn_lsh_candidates(spark, sf_dir):
     items = search_index(spark, sf_dir).dense["text_structured"]

@@ -29,22 +29,29 @@ REACH = 3.0
 FIRST_CELLS = 4
 TARGET_RECALL = 0.95
 
+# neighbours kept of each vector while a proximity graph is learned, twice as many for the search; best items of a query
+# from which a search on it goes on
+DEGREE = 16
+BEAM = 64
+
 
 @dataclass(frozen=True)
 class Search:
-    """How dense neighbours are found: exactly, or in cells.
+    """How dense neighbours are found: exactly, in cells, or on a proximity graph.
 
     ``ivf`` visits ``nprobe`` cells at first and more of them while lists are not full or the next cell is expected to
     hold a hit: up to ``reach`` deviations above the score of its centre, by default as many as the index was
-    calibrated for; with None it stops only where no hit is possible.
+    calibrated for; with None it stops only where no hit is possible.  ``graph`` goes on from the best ``beam`` items of
+    a query while they have neighbours not yet seen.
     """
 
     kind: str = "exact"
     nprobe: int = FIRST_CELLS
     reach: float | None | str = "calibrated"
+    beam: int = BEAM
 
     def __post_init__(self):
-        if self.kind not in ("exact", "ivf") or self.nprobe < 1:
+        if self.kind not in ("exact", "ivf", "graph") or self.nprobe < 1 or self.beam < 1:
             raise ValueError(f"unknown search {self}")
 
 

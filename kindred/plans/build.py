@@ -13,6 +13,7 @@ from kindred.operators.ann import CellIndex
 from kindred.operators.attach import is_present
 from kindred.operators.encode import StructuredEncoder, StructuredModel
 from kindred.operators.lexical import build_lexical
+from kindred.operators.proximity import GraphIndex
 from kindred.operators.purge import kept_ids, purge, purged_ids
 from kindred.sources.artifacts import SearchIndex, has_index, open_index, write_table
 from kindred.sources.catalogue import duplicate_ids
@@ -50,13 +51,14 @@ def build_index(
     purged: DataFrame | None = None,
     n_cells: int | None = None,
     cells: dict[str, CellIndex] | None = None,
+    graph: bool = False,
 ) -> SearchIndex:
     """Write every table of an index.
 
     ``cells`` of another index of like products lend their centres and reach to this one, which then learns none.
 
     ``n_cells`` also writes each mode's vectors in so many k-means cells, for approximate search; about the square root of
-    the number of products is a good number.
+    the number of products is a good number.  ``graph`` writes a proximity graph for each mode, the other approximate search.
 
     ``text_vectors`` is (uniq_id, text_vector), ``image_vectors`` (uniq_id,
     image_vector) with zero vectors, or no row, for missing images.  A fitted
@@ -88,6 +90,8 @@ def build_index(
             CellIndex.around(around, f"{path}/cells/{mode}", cells[mode].centers).reaching(f"{path}/cells/{mode}", cells[mode].reach)
         elif n_cells:
             CellIndex.build(dense, f"{path}/cells/{mode}", n_cells, item_id="uniq_id", target=TARGET_RECALL)
+        if graph:
+            GraphIndex.build(dense, f"{path}/graph/{mode}", item_id="uniq_id")
     build_lexical(with_lexical_text(products), f"{path}/lexical")
     if purged is not None:
         write_table(purged, f"{path}/purged")
@@ -112,7 +116,7 @@ def _check_vectors(products: DataFrame, vectors: DataFrame, name: str, required:
 
 
 def purge_index(index: SearchIndex, path: str) -> SearchIndex:
-    """a new index without the products that have no image; neither the encoder nor the cells are fitted again."""
+    """a new index without the products that have no image; neither the encoder nor the cells are fitted again, a graph is."""
     kept = kept_ids(index.vectors)
     vectors = purge(index.vectors, kept)
     return build_index(
@@ -123,6 +127,7 @@ def purge_index(index: SearchIndex, path: str) -> SearchIndex:
         encoder=index.encoder,
         purged=index.purged.unionByName(purged_ids(index.vectors)),
         cells=index.cells,
+        graph=bool(index.graphs),
     )
 
 

@@ -10,6 +10,7 @@ from kindred.operators.ann import widening_search
 from kindred.operators.dense import exact_topk
 from kindred.operators.fusion import rrf
 from kindred.operators.lexical import bm25_topk
+from kindred.operators.proximity import graph_topk
 from kindred.operators.rerank import TOKEN_OVERLAP, PairScorer, rerank
 from kindred.operators.topk import drop_self, renumber
 from kindred.plans.build import with_lexical_text
@@ -41,6 +42,11 @@ def dense_candidates(
         cells = index.cells[mode]
         reach = cells.reach if search.reach == "calibrated" else search.reach
         return widening_search(asked, cells, depth, search.nprobe, reach, limits=limits).found
+    if search.kind == "graph":
+        if mode not in index.graphs:
+            raise ValueError(f"the index has no graph for mode {mode!r}: build it with graph=True")
+        asked = asked.select(F.col("uniq_id").alias("query_id"), "vector")
+        return graph_topk(asked, index.graphs[mode], depth, search.beam, limits=limits).found
     return exact_topk(asked, items, depth, query_id="uniq_id", item_id="uniq_id", limits=limits)
 
 

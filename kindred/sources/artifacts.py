@@ -6,6 +6,7 @@
     lexical/         BM25 postings and statistics (S5)
     dense/<mode>/    uniq_id and its fused vector per search mode (S6)
     cells/<mode>/    the same in k-means cells, for approximate search (S6)
+    graph/<mode>/    the different ones, their neighbours and copies, for search on a graph (S6)
     purged/          uniq_id and reason of purged products (S8)
 """
 
@@ -19,6 +20,7 @@ from kindred.config import MODES
 from kindred.operators.ann import CellIndex
 from kindred.operators.encode import StructuredModel
 from kindred.operators.lexical import LexicalIndex
+from kindred.operators.proximity import GraphIndex
 from kindred.session import path_exists
 
 PURGED_SCHEMA = "uniq_id string, reason string"
@@ -35,6 +37,7 @@ class SearchIndex:
     encoder: StructuredModel
     purged: DataFrame
     cells: dict[str, CellIndex]
+    graphs: dict[str, GraphIndex]
 
     @property
     def modes(self) -> list[str]:
@@ -71,6 +74,8 @@ def open_index(spark: SparkSession, path: str) -> SearchIndex:
         cells={
             m: CellIndex.read(spark, f"{path}/cells/{m}") for m in MODES if path_exists(spark, f"{path}/cells/{m}/centers")
         },
+        # copies are written first, entries last
+        graphs={m: GraphIndex.read(spark, f"{path}/graph/{m}") for m in MODES if path_exists(spark, f"{path}/graph/{m}/entries")},
     )
 
 
