@@ -91,7 +91,7 @@ def lifted(nodes: DataFrame) -> DataFrame:
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     longest = nodes.agg(F.max(square)).first()[0] or 0.0
     rest = F.sqrt(F.greatest(F.lit(longest) - square, F.lit(0.0)))
-    return nodes.select("candidate_id", F.concat(F.col("vector").cast("array<double>"), F.array(rest)).alias("vector"))
+    return nodes.select("candidate_id", F.concat(F.col("vector").cast("array<float>"), F.array(rest.cast("float"))).alias("vector"))
 
 
 def _pairs_schema(kind: T.DataType) -> T.StructType:
@@ -171,13 +171,15 @@ def descend(nodes: DataFrame, degree: int = DEGREE, seed: int = 42, rounds: int
         return graph
     for born in range(1, rounds + 1):
         used = rank_by(graph, ["neighbour"], [F.xxhash64(F.col("candidate_id").cast("string"), F.lit(born)), F.asc("candidate_id")], 2 * degree, "turn")
-        used = stored(used.select("candidate_id", "neighbour"), "used")
+        used = stored(used.select("candidate_id", "neighbour", "born"), "used")
         members = (
-            used.select(F.col("candidate_id").alias("of"), F.col("neighbour").alias("candidate_id"))
-            .union(used.select(F.col("neighbour").alias("of"), "candidate_id"))
-            .union(nodes.select(F.col("candidate_id").alias("of"), "candidate_id"))
-            .distinct()
+            used.select(F.col("candidate_id").alias("of"), F.col("neighbour").alias("candidate_id"), "born")
+            .union(used.select(F.col("neighbour").alias("of"), "candidate_id", "born"))
+            .union(nodes.select(F.col("candidate_id").alias("of"), "candidate_id", F.lit(0).alias("born")))
         )
+        # a neighbourhood whose edges of this turn are all older holds few pairs that were not compared before
+        changed = members.groupBy("of").agg(F.max("born").alias("last")).where(F.col("last") == born - 1).select("of")
+        members = members.join(changed, "of", "left_semi").select("of", "candidate_id").distinct()
         floors = graph.where(F.col("rank") == degree).select("candidate_id", F.col("score").alias("floor"))
         vectors = nodes.join(floors, "candidate_id", "left")
         found = compare_members(members.join(vectors, "candidate_id"), degree, rows).withColumn("born", F.lit(born))
