@@ -379,6 +379,11 @@ def _queries() -> dict[str, str]:
       from (select q.vec_id as query_id, i.vec_id as candidate_id,
         round(list_dot_product(cast(q.embedding as double[]), cast(i.embedding as double[])), 6) as score
         from embeddings q cross join embeddings i)) where rank <= 5"""
+    q["knn_embeddings_bounded"] = """
+      select query_id, candidate_id, score, rank from (select *, row_number() over (partition by query_id order by score desc, candidate_id) as rank
+      from (select q.vec_id as query_id, i.vec_id as candidate_id,
+        round((1 + i.vec_id % 5) * list_dot_product(cast(q.embedding as double[]), cast(i.embedding as double[])), 6) as score
+        from embeddings q cross join embeddings i where q.vec_id % 100 = 0)) where rank <= 10"""
     q["vector_distances"] = """
       select cast(vec_id as bigint) as vec_id, round(list_dot_product(cast(embedding as double[]), cast(c as double[])), 6) + 0e0 as dot,
         round(list_sum(list_transform(list_zip(embedding, c), lambda z: power(cast(z[1] as double) - cast(z[2] as double), 2))), 6) as squared_l2

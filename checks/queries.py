@@ -266,6 +266,15 @@ def knn_embeddings(spark, sf_dir):
     return exact_topk(rows, rows, 5, query_id="vec_id", item_id="vec_id")
 
 
+@query
+def knn_embeddings_bounded(spark, sf_dir):
+    """Every hundredth vector against all, those made one to five times as long, by the plan of levels and bounds."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("candidate_id"), v.doubles(F.col("embedding")).alias("vector"))
+    longer = rows.select("candidate_id", F.transform("vector", lambda x: x * (1 + F.col("candidate_id") % 5)).alias("vector"))
+    queries = rows.where("candidate_id % 100 = 0").withColumnRenamed("candidate_id", "query_id")
+    return exact_topk(queries, longer, 10, plan="bounded")
+
+
 def _cells(spark, sf_dir, n_cells: int) -> tuple[DataFrame, CellIndex]:
     items = search_index(spark, sf_dir).dense["text_structured"]
     cells = CellIndex.build(items, scratch_path(spark, "cells"), n_cells, item_id="uniq_id")

@@ -105,8 +105,9 @@ def ragged_hits(
     scores: list[np.ndarray],
     lengths: list[int],
     schema: pa.Schema,
+    others: list[pa.Array] = (),
 ) -> pa.RecordBatch:
-    """One row per query with a hit list of its own length."""
+    """One row per query with a hit list of its own length, and ``others`` as further columns."""
     hit_type = schema.field(1).type
     hits = pa.StructArray.from_arrays(
         [item_ids.take(pa.array(np.concatenate(columns))), pa.array(np.concatenate(scores))],
@@ -114,7 +115,7 @@ def ragged_hits(
     )
     offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
     lists = pa.ListArray.from_arrays(offsets, hits, type=hit_type)
-    return pa.RecordBatch.from_arrays([query_ids, lists], schema=schema)
+    return pa.RecordBatch.from_arrays([query_ids, lists, *others], schema=schema)
 
 
 def merge_best(

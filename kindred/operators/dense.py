@@ -1,15 +1,19 @@
 """Exact k-nearest-neighbour search by inner product over whole tables.
 
-``exact_topk`` returns the same rows by one of three plans, chosen by measured
+``exact_topk`` returns the same rows by every plan.  One of three is chosen by measured
 sizes:
 
 * items fit the broadcast bound: every task scores its queries against all items
   and emits finished lists, no shuffle of scores;
 * queries fit the bound: every task scores its items against all queries, keeps
   its own k best per query, and a window merges those lists;
-* neither fits: both sides are keyed by the cell of a clustering and meet in an
-  equi-join on (cell, part).  A query visits a cell only if the geometry allows
-  a hit there, so the result stays exact.
+* neither fits: ``bounded`` has both sides meet in blocks by level of norm and drops
+  pairs by bounds on the rest of their products; it needs nothing learned.
+
+A fourth plan, ``routed``, is for vectors known to fall into clusters: both sides are
+keyed by the cell of a k-means and a query visits a cell only if the geometry allows
+a hit there, so the result stays exact.  Where an index has cells,
+``ann.widening_search`` without a reach does the same on those.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from kindred.config import LIMITS, Limits
 from kindred.operators import blocks
+from kindred.operators.bounded import bounded_topk
 from kindred.operators.topk import rank_by, top_k
 from kindred.session import stored
 
@@ -80,11 +85,13 @@ def exact_topk(
         elif max(q_size.bytes, 4 * q_size.rows * k) <= limits.broadcast_bytes:
             plan = "broadcast_queries"
         else:
-            plan = "routed"
+            plan = "bounded"
     if plan == "broadcast_items":
         return _broadcast_items(q, i, k, decimals, q_size, i_size, limits)
     if plan == "broadcast_queries":
         return _broadcast_queries(q, i, k, decimals, q_size, i_size, limits)
+    if plan == "bounded":
+        return bounded_topk(q, i, k, decimals, limits).found
     if plan == "routed":
         return _routed_exact(q, i, k, decimals, i_size, limits)
     raise ValueError(f"unknown plan {plan!r}")

@@ -42,7 +42,7 @@ def tables(spark):
     return queries, items, frame(spark, queries, "query_id"), frame(spark, items, "candidate_id")
 
 
-@pytest.mark.parametrize("plan", ["broadcast_items", "broadcast_queries", "routed"])
+@pytest.mark.parametrize("plan", ["broadcast_items", "broadcast_queries", "bounded", "routed"])
 @pytest.mark.parametrize("k", [1, 10])
 def test_every_plan_equals_brute_force(tables, plan, k):
     queries, items, q, i = tables
@@ -53,7 +53,7 @@ def test_every_plan_equals_brute_force(tables, plan, k):
 def test_k_is_cut_to_the_number_of_items(tables):
     queries, items, q, i = tables
     few = i.where("candidate_id < 'p0005'")
-    for plan in ("broadcast_items", "broadcast_queries", "routed"):
+    for plan in ("broadcast_items", "broadcast_queries", "bounded", "routed"):
         found = exact_topk(q, few, 10, limits=TINY, plan=plan)
         assert rows(found) == sorted(brute(queries, items[:5], 10))
 

@@ -111,9 +111,10 @@ def test_approximate_search(spark):
     some = recall_at_k(lsh_topk(queries, items, 5, 8, 0.5, 4, limits=limits), exact, 5).agg(F.avg("recall")).first()[0]
     assert 0.5 < some <= 1
     report = {(e.engine, e.params): e for e in compare_engines(queries, items, 5, 8, (8,), ((1000.0, 1),)).collect()}
-    assert {e for e, _ in report} == {"exact", "ivf", "widening", "coded", "lsh"}
+    assert {e for e, _ in report} == {"exact", "bounded", "ivf", "widening", "coded", "graph", "lsh"}
     assert all(0.2 < e.recall <= 1 and e.candidates_per_query <= len(x) for e in report.values())
     assert all(e.recall == 1 and e.candidates_per_query == len(x) for k, e in report.items() if k[0] in ("exact", "ivf"))
+    assert all(e.recall == 1 for k, e in report.items() if k[0] == "bounded")
     assert all(e.recall >= 0.95 and e.candidates_per_query < len(x) for k, e in report.items() if k[0] in ("widening", "coded"))
 
 
