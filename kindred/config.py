@@ -77,6 +77,8 @@ class Limits:
     postings_per_key: int = 100_000
     # queries using one term that may sit under one join key
     queries_per_key: int = 20_000
+    # rows of one key that a join keeps together
+    rows_per_key: int = 100_000
     # (query, document) pairs one join task should give
     pairs_per_task: int = 5_000_000
     # (query, document) pairs up to which BM25 scores them all by a join

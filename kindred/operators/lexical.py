@@ -27,6 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from kindred.config import BM25_B, BM25_EPSILON, BM25_K1, LIMITS, Limits
 from kindred.functions.text import tokens
 from kindred.operators import blocks
+from kindred.operators.skew import join_hot
 from kindred.operators.topk import rank_by, top_k
 from kindred.session import stored
 
@@ -71,8 +72,12 @@ def build_lexical(
     k1: float = BM25_K1,
     b: float = BM25_B,
     epsilon: float = BM25_EPSILON,
+    limits: Limits = LIMITS,
 ) -> LexicalIndex:
-    """Tokenize ``docs`` and write the index tables below ``path``."""
+    """Tokenize ``docs`` and write the index tables below ``path``.
+
+    Copies of a text are counted in the tasks that read them, and no task gets all of them.
+    """
     spark = docs.sparkSession
     bags = docs.select(
         F.col(doc_id).alias("doc_id"), F.sort_array(tokens(F.col(text))).alias("bag")
@@ -82,7 +87,7 @@ def build_lexical(
     groups = keyed.groupBy("key").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
     )
-    keyed.join(groups, "key").drop("key").write.mode("overwrite").parquet(f"{path}/documents")
+    join_hot(keyed, groups, "key", limits).select("doc_id", "dl", "first_id", "copies").write.mode("overwrite").parquet(f"{path}/documents")
     documents = spark.read.parquet(f"{path}/documents")
     totals = documents.agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("dl")).first()
     n_docs = totals["n"]
@@ -127,7 +132,7 @@ def build_lexical(
 
 
 def query_bags(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The distinct token bags (bag_id, bag), and which one each query has (query_id, bag_id)."""
+    """The distinct token bags (bag_id, bag, key), and which one each query has (query_id, key)."""
     asked = queries.select(F.col(query_id).alias("query_id"), F.sort_array(tokens(F.col(text))).alias("bag"))
     asked = asked.withColumn("key", bag_key(F.col("bag")))
     # the numbers hold because the table is written before it is used
@@ -135,8 +140,7 @@ def query_bags(queries: DataFrame, query_id: str = "query_id", text: str = "text
         asked.dropDuplicates(["key"]).select("key", "bag").withColumn("bag_id", F.monotonically_increasing_id()),
         "bags",
     )
-    owners = asked.select("query_id", "key").join(bags.select("key", "bag_id"), "key")
-    return bags.select("bag_id", "bag"), owners.select("query_id", "bag_id")
+    return bags, stored(asked.select("query_id", "key"), "bag-owners")
 
 
 def bm25_topk(
@@ -167,6 +171,10 @@ def bm25_topk(
         )
     )
     terms = stored(terms, "query-terms")
+
+    def of_owners(lists: DataFrame) -> DataFrame:
+        return join_hot(owners, lists.join(bags.select("bag_id", "key"), "bag_id"), "key", limits)
+
     per_term = terms.groupBy("term").agg(
         F.sum("n_postings").alias("pairs"), F.min("factor").alias("low"), F.max("df").alias("df")
     )
@@ -181,7 +189,7 @@ def bm25_topk(
         ranked = _rank_around_zero(_with_copies(scored, index, None), index.n_docs, k)
     elif pairs > limits.direct_pairs and posting_bytes <= limits.broadcast_bytes:
         hits = _rank_in_tasks(terms, index, pairs, k, decimals, limits)
-        return owners.join(hits.hint("merge"), "bag_id").select(
+        return of_owners(hits).select(
             "query_id", F.posexplode("hits").alias("pos", "hit")
         ).select(
             "query_id", F.col("hit.doc_id").alias("candidate_id"), "hit.score", (F.col("pos") + 1).alias("rank")
@@ -193,8 +201,7 @@ def bm25_topk(
             scored = _score_pruned(terms, index, pairs, k, decimals, limits)
         best = top_k(scored, k, "bag_id", "doc_id").drop("rank")
         ranked = top_k(_with_copies(best, index, k), k, "bag_id", "doc_id")
-    # the planner guesses the lists as small as the queries they come from; they are not
-    return owners.join(ranked.hint("merge"), "bag_id").select(
+    return of_owners(ranked).select(
         "query_id", F.col("doc_id").alias("candidate_id"), "score", "rank"
     )
 

@@ -12,8 +12,10 @@ from kindred.operators.fusion import rrf
 from kindred.operators.lexical import bm25_topk
 from kindred.operators.proximity import graph_topk
 from kindred.operators.rerank import TOKEN_OVERLAP, PairScorer, rerank
+from kindred.operators.skew import join_hot
 from kindred.operators.topk import drop_self, renumber
 from kindred.plans.build import with_lexical_text
+from kindred.session import stored
 from kindred.sources.artifacts import SearchIndex
 
 SCORE_KINDS = {"text_structured": "pair", "combined": "pair", "image": "cosine"}
@@ -98,12 +100,14 @@ def candidates(
     return renumber(drop_self(ranked.select(*keys, "candidate_id", "score", "rank")), depth, keys)
 
 
-def with_texts(pairs: DataFrame, products: DataFrame, text: Column, scorer: PairScorer) -> DataFrame:
-    """Pairs with the texts of both products, prepared for the scorer."""
+def with_texts(
+    pairs: DataFrame, products: DataFrame, text: Column, scorer: PairScorer, limits: Limits = LIMITS
+) -> DataFrame:
+    """Pairs with the texts of both products, prepared for the scorer; a product may be the candidate of very many."""
     texts = products.select("uniq_id", scorer.prepare(text).alias("text"))
     left = texts.withColumnsRenamed({"uniq_id": "query_id", "text": "query_text"})
     right = texts.withColumnsRenamed({"uniq_id": "candidate_id", "text": "candidate_text"})
-    return pairs.join(left, "query_id").join(right, "candidate_id")
+    return join_hot(stored(pairs, "pairs"), right, "candidate_id", limits).join(left, "query_id")
 
 
 def short_text() -> Column:
@@ -130,7 +134,7 @@ def _stage_two(
     if mode not in HYBRID_MODES:
         return first
     first = first.drop("score")
-    return rerank(with_texts(first, index.products, text, scorer), n, scorer)
+    return rerank(with_texts(first, index.products, text, scorer, limits), n, scorer)
 
 
 def recommend(
@@ -169,7 +173,7 @@ def recommend_detailed(
     fields = index.products.select(
         F.col("uniq_id").alias("candidate_id"), "product_name", "brand", "sales_price", "rating", "image_url"
     )
-    return ranked.join(fields, "candidate_id").select(
+    return join_hot(stored(ranked, "ranked"), fields, "candidate_id", limits).select(
         "query_id", "rank", "candidate_id", "score", F.lit(SCORE_KINDS[mode]).alias("score_kind"),
         "product_name", "brand", "sales_price", "rating", "image_url",
     )
