@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.functions import vectors as v
+from kindred.operators import blocks
 from kindred.operators.attach import (
     attach_image_vectors, attach_text_vectors, count_present, hashed_text_vectors, is_present,
 )
@@ -90,3 +91,11 @@ def test_hashed_vectors(spark):
     found = {r[0]: np.array(r[2]) for r in hashed_text_vectors(df, "text", 16).collect()}
     assert np.allclose(found["a"], found["b"]) and np.linalg.norm(found["c"]) == pytest.approx(1)
     assert not found["d"].any()
+
+
+def test_sums_by_group():
+    rng = np.random.default_rng(1)
+    group, rows = rng.integers(0, 5, 300), rng.normal(size=(300, 7))
+    expected = np.zeros((6, 7))
+    np.add.at(expected, group, rows)
+    assert np.allclose(blocks.sums_by(group, rows, 6), expected, rtol=0, atol=1e-12)
