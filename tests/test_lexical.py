@@ -1,13 +1,16 @@
+import itertools
 import math
 import random
 from collections import Counter
 from dataclasses import replace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from kindred.config import Limits
 from kindred.operators.lexical import bm25_topk, build_lexical
+from kindred.operators.postings import BestDocuments
 from kindred.session import scratch_path
 
 DIRECT = Limits()
@@ -97,3 +100,39 @@ def test_plans_agree_on_scores_of_half_a_unit(spark):
         sorted(tuple(r) for r in bm25_topk(queries, fixed, 50, limits=limits).collect()) for limits in (DIRECT, IN_TASKS, PRUNED)
     ]
     assert found[0] == found[1] == found[2] and len(found[0]) == 150
+
+
+def test_streamed_lists_are_finished_where_the_bags_are(spark):
+    """Groups of copies fill a list before its last groups; lists are no longer than k, however the documents come in blocks."""
+    docs, queries = corpus(seed=11, n=400)
+    docs |= {f"c{i:04d}": "w2 w3" for i in range(9)} | {f"e{i}": "w3 w2" for i in range(4)}
+    queries |= {"q_pair": "w2 w3", "q_all": " ".join(f"w{i}" for i in range(60))}
+    for k in (1, 7, 30):
+        close(run(spark, docs, queries, k, PRUNED), brute(docs, queries, k))
+
+
+def test_blocks_and_repeated_ids_of_documents():
+    rng, step = random.Random(3), 10
+    docs = [(f"d{i:03d}", sorted((rng.randrange(9), rng.randint(0, 4) / 2) for _ in range(rng.randint(0, 6)))) for i in range(200)]
+    bags = [(i, sorted((t, float(rng.randint(0, 3))) for t in rng.sample(range(12), 5))) for i in range(40)]
+    copies = [rng.randint(1, 4) for _ in docs]
+
+    def lists(name, rows):
+        own = {name: [r[0] for r in rows], "numbers": [[t for t, _ in r[1]] for r in rows], "weights": [[float(w) for _, w in r[1]] for r in rows]}
+        return pa.table(own, pa.schema([(name, pa.int64() if name == "bag_id" else pa.string()), ("numbers", pa.list_(pa.int64())), ("weights", pa.list_(pa.float64()))]))
+
+    schema = pa.schema([("bag_id", pa.int64()), ("hits", pa.list_(pa.struct([("doc_id", pa.string()), ("score", pa.float64())])))])
+    for size in (200, 23):
+        best = BestDocuments(lists("bag_id", bags), 5, step, 100)
+        for start in range(0, 200, size):
+            part = slice(start, start + size)
+            best.add(lists("doc_id", docs[part]).append_column("copies", pa.array(copies[part])))
+        found = best.batch(schema, 10.0).to_pylist()
+        for (bag, asked), row in zip(bags, found):
+            scored = sorted((-((sum(round(f * w * 100) for t, f in asked for u, w in d[1] if t == u) + step // 2) // step), d[0], c) for d, c in zip(docs, copies))
+            expected, better = [], 0
+            for score, group in itertools.groupby([s for s in scored if s[0] < 0], key=lambda s: s[0]):
+                group = list(group)
+                expected += [(d, -score / 10) for _, d, _ in group] if better < 5 else []
+                better += sum(c for *_, c in group)
+            assert [(h["doc_id"], h["score"]) for h in row["hits"]] == expected[:5]
