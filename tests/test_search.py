@@ -337,3 +337,17 @@ print("rows", e.queries()["knn_embeddings"](spark, {sf_dir!r}).count())
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows" in done.stdout, done.stderr[-2000:]
+
+
+def test_lists_that_are_not_fused_are_searched_as_far_as_used(spark, index, monkeypatch):
+    depths = []
+
+    def searched(queries, items, k, **options):
+        depths.append(k)
+        return exact_topk(queries, items, k, **options)
+
+    monkeypatch.setattr(r, "exact_topk", searched)
+    queries = index.products.select(F.col("uniq_id").alias("query_id")).limit(20)
+    short = r.recommend_detailed(queries, index, 5, "image")
+    deep = r.candidates(queries, index, "image").where("rank <= 5")
+    assert lists(short) == lists(deep) and depths == [6, 100]
