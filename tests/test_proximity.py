@@ -113,3 +113,53 @@ def test_search_kind(spark):
     with pytest.raises(ValueError):
         Search("graph", beam=0)
     assert proximity.BEAM == Search("graph").beam
+
+
+def test_walk_ranks_only_the_best_again(spark, clustered, monkeypatch):
+    items = table(spark, clustered)
+    graph = GraphIndex.build(items, scratch_path(spark, "graph"))
+    written, stored = [], proximity.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(proximity, "stored", counted)
+    queries = asked(items.where("substring(candidate_id, -1, 1) = '0'"))
+    walked = graph_topk(queries, graph, 10, beam=16)
+    assert max(n for name, n in written if name == "walk") <= 300 * 16
+    met = sum(n for name, n in written if name == "scored") + 300 * graph.entries.count()
+    assert walked.counts.agg(F.sum("candidates")).first()[0] == met
+
+
+def test_pairs_of_neighbourhoods(clustered):
+    x = clustered[:400]
+    starts, floors = np.array([0, 1, 6, 6 + 47, 200, 203]), np.where(np.arange(400) % 3, 0.6, -np.inf)
+    found = {(i, j): s for i, j, s in zip(*proximity.hood_pairs(x, starts, floors, 8))}
+    for start, stop in zip(starts, [*starts[1:], 400]):
+        for i in range(start, stop):
+            scores = {j: x[i] @ x[j] for j in range(start, stop) if j != i and x[i] @ x[j] > floors[i]}
+            best = sorted(scores, key=lambda j: -scores[j])[:8]
+            assert all(found.get((i, j)) == pytest.approx(scores[j], abs=1e-8) for j in best)
+            assert {j for a, j in found if a == i} == set(best)
+
+
+def test_many_pairs_meet_in_blocks(spark, clustered, monkeypatch):
+    items = table(spark, clustered[:300])
+    # two rows with one id, and a null id, are nodes like others
+    nodes = items.unionByName(table(spark, clustered[300:301])).unionByName(spark.createDataFrame([(None, [0.5] * 16)], SCHEMA))
+    queries = asked(items.where("candidate_id < 'p00090'")).unionByName(asked(table(spark, clustered[301:302])))
+    pairs = queries.select("query_id").distinct().join(nodes.select("candidate_id").distinct().where("candidate_id is null or candidate_id > 'p00020' or candidate_id = 'p00000'"))
+    pairs = pairs.unionByName(spark.createDataFrame([("p00001", "unknown"), ("unknown", "p00001"), (None, "p00002")], pairs.schema))
+
+    def scored(limits):
+        found = proximity.products(pairs, queries, nodes, 6, limits).collect()
+        return sorted(map(tuple, found), key=str)
+
+    plain = scored(Limits())
+    blocks, calls = proximity._products_in_blocks, []
+    monkeypatch.setattr(proximity, "PAIRS_OF_GROUP", 3000)
+    monkeypatch.setattr(proximity, "_products_in_blocks", lambda *a: calls.append(a[-2:]) or blocks(*a))
+    assert scored(Limits(direct_pairs=1000)) == plain and calls[0][1] > 1
+    assert scored(Limits(direct_pairs=1000, list_bytes=4096)) == plain
