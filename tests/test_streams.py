@@ -1,11 +1,14 @@
 """Lists finished where the queries are: one list a query, whatever the slices, with items that stream by."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from kindred.config import Limits
+from kindred.operators import dense, streams
 from kindred.operators.bounded import bounded_topk
 from kindred.operators.bounds import Asked, block_topk
 from kindred.operators.dense import meet_in_cells
+from kindred.session import stored
 
 from tests.test_dense import brute, frame, rows, unit
 
@@ -59,3 +62,16 @@ def test_products_in_single_precision_drop_no_hit():
         wanted = [sorted(range(800), key=lambda j: (-row[j], j))[:5] for row in scores]
         assert np.allclose(np.concatenate(found.scores), np.concatenate([row[w] for row, w in zip(scores, wanted)]), rtol=1e-12, atol=1.1e-6)
         assert found.lengths.tolist() == [5] * 50
+
+
+def test_items_of_a_large_cell_are_repeated_once_a_core_by_all_tasks(spark, monkeypatch):
+    vector = F.array_repeat(F.lit(1.0).cast("float"), 4000).alias("vector")
+    routed = spark.range(4000).select(F.col("id").alias("query_id"), vector, F.lit(float("-inf")).alias("floor"), F.lit(0).alias("cell"))
+    celled = stored(spark.range(2000).coalesce(1).select(F.col("id").alias("candidate_id"), vector, F.lit(0).alias("cell")), "one-file")
+    met = []
+    monkeypatch.setattr(dense, "streamed_topk", lambda left, right, *a, **b: met.append(right) or streams.streamed_topk(left, right, *a, **b))
+    dense.meet_in_cells(routed, celled, 3)
+    cores = spark.sparkContext.defaultParallelism
+    rows = [r["count"] for r in met[0].groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert 2000 < sum(rows) <= 2000 * cores
+    assert len(rows) >= cores and max(rows) < 0.5 * sum(rows)
