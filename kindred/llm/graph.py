@@ -38,10 +38,10 @@ def _stars(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours, then its smaller ones, linked to the smallest node known there."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+    large = both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
     large = large.union(least.where("m < a").select("a", F.col("m").alias("b"))).distinct()
     low = large.groupBy("a").agg(F.min("b").alias("m"))
-    small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+    small = large.join(low.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
     return small.union(low.select("a", F.col("m").alias("b"))).distinct()
 
 

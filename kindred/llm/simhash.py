@@ -98,11 +98,13 @@ def near_pairs(fps: DataFrame, distance: int = 2, pairwise: int = PAIRWISE) -> D
         raise ValueError("two halves cover distances from 1 to 3")
     keyed = signatures(fps)
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    # few signatures are shared; those are stored and all else works on them
-    met, _ = store(keyed.join(shared, "key"), "signatures")
+    # few signatures are shared; those are stored and all else works on them.  The planner guesses signatures as small as
+    # the fingerprints that they are exploded from, and stored links and signatures as small as their files: hints keep
+    # all these joins from being broadcast
+    met, _ = store(keyed.join(shared.hint("merge"), "key"), "signatures")
     few = met.where(F.col("n") <= pairwise)
     near = F.expr("a.key = b.key and a.fp < b.fp") & (F.bit_count(F.expr("a.fp ^ b.fp")) <= distance)
-    pairs = few.alias("a").join(few.alias("b"), near).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+    pairs = few.alias("a").join(few.alias("b").hint("merge"), near).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
     many = met.where(F.col("n") > pairwise)
     whole = F.expr("(key >> 32) % 64 = 0")
     cliques = _cliques(many.where(whole), distance).union(_cliques(many.where(~whole), distance - 1))
@@ -135,10 +137,10 @@ def near_duplicates(docs: DataFrame, distance: int = 2, words: int = SHINGLE, se
     rows, _ = store(fingerprint_rows(docs, words, seed), "fingerprints")
     fps, _ = store(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = components(near_pairs(fps.select("fp"), distance, pairwise))
-    rooted = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = fps.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", F.col("root").alias("group_id"), "component_id")
-    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "group_id", "component_id")
+    named = rooted.join(least.hint("merge"), "root").select("fp", F.col("root").alias("group_id"), "component_id")
+    return rows.join(named.hint("merge"), "fp").select("doc_id", "text_hash", "fp", "group_id", "component_id")
 
 
 def keep_one(docs: DataFrame, **options: int) -> DataFrame:
@@ -160,5 +162,5 @@ def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
     keys = kept.select(F.col("first.doc_id").alias(own_id), F.col("first.text_hash").alias(own_hash))
     hashed = docs.withColumn(row_hash, F.xxhash64("text"))
     same = F.col(own_id).eqNullSafe(F.col("doc_id").cast("long")) & (F.col(own_hash) == F.col(row_hash))
-    one = hashed.join(keys, same, "left_semi").dropDuplicates(["doc_id", row_hash])
+    one = hashed.join(keys.hint("merge"), same, "left_semi").dropDuplicates(["doc_id", row_hash])
     return one.select(*docs.columns)

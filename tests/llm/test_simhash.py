@@ -4,7 +4,8 @@ import re
 import numpy as np
 import xxhash
 
-from kindred.llm import simhash
+from kindred.llm import graph, simhash
+from kindred.llm.common import store
 from kindred.llm.graph import components
 from kindred.llm.queries import op4_simhash
 
@@ -88,6 +89,21 @@ def test_query_on_whole_documents(spark, sf_dir):
     assert {(r.doc_id, r.fingerprint, r.component_id) for r in rows} == {(i, f"{fps[i]:016x}", expected[i]) for i in ids}
 
 
+def test_no_join_is_broadcast(spark, monkeypatch):
+    """Tables made by an explode are sized by what went in, so the planner would collect them on the driver."""
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(simhash, "store", lambda df, name: store(planned(df), name))
+    planned(graph._stars(spark.createDataFrame([(2, 1), (3, 2)], "a long, b long")))
+    docs = spark.createDataFrame([(i, f"a b c d e f g h {i // 2}") for i in range(8)], "doc_id long, text string")
+    planned(simhash.keep_one(docs))
+    assert sum("Join" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(r.doc_id, r.fp, r.component_id) for r in simhash.near_duplicates(odd_docs).collect()]
     assert len(rows) == odd_docs.count()
