@@ -5,8 +5,8 @@ import random
 import public_tokenizers
 
 import corpus_pipeline as pipeline
-from kindred.llm import packing, quality, repetition
-from kindred.llm.common import crc_fold
+from kindred.llm import packing, quality, repetition, simhash
+from kindred.llm.common import crc_fold, store
 from tests.llm.test_repetition import brute_row
 from tests.llm.test_simhash import brute_fingerprint, roots
 
@@ -77,6 +77,15 @@ def test_one_of_each_group_stays(spark):
     assert 0 < sum(first[i] == i for i in fps) < len(texts)
 
 
+def test_deduplication_broadcasts_nothing(spark, monkeypatch):
+    """Fingerprints and links grow with the documents; none of them may be collected on the driver, whatever their guessed size."""
+    plans = []
+    monkeypatch.setattr(simhash, "store", lambda df, name: plans.append(df) or store(df, name))
+    docs = spark.createDataFrame([(i, f"a b c d e f g h {i // 2}") for i in range(8)], "doc_id long, text string")
+    plans.append(pipeline.near_dedup(spark, docs, SMALL))
+    assert len(plans) > 3 and not any("Broadcast" in df._jdf.queryExecution().executedPlan().toString() for df in plans)
+
+
 def test_no_documents(spark, no_docs):
     docs = no_docs
     for name, stage in pipeline.STAGES:
