@@ -1,6 +1,7 @@
 """Lists finished where the queries are: one list a query, whatever the slices, with items that stream by."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kindred.config import Limits
@@ -24,6 +25,19 @@ def test_a_query_has_one_list_and_no_hit_is_moved(spark):
     assert rows(found.found) == sorted(brute(queries, items, 5))
 
 
+def test_items_are_written_once_however_many_slices(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(streams, "stored", lambda df, name: written.append(stored(df, name)) or written[-1])
+    queries, items = unit(120, 16, 1), unit(500, 16, 2)
+    # equal scores, so that the order of the ids decides though blocks come in any order
+    items[100:400] = items[:100].repeat(3, axis=0)
+    found = bounded_topk(frame(spark, queries, "query_id"), frame(spark, items, "candidate_id").repartition(7), 5, limits=MANY)
+    assert rows(found.found) == sorted(brute(queries, items, 5))
+    blocks = [(r["first"], pa.ipc.open_stream(r["block"]).read_all()["candidate_id"].to_pylist()) for r in written[0].collect()]
+    assert [x for _, ids in sorted(blocks) for x in ids] == [f"p{i:04d}" for i in range(500)]
+    assert "Exchange" not in found.work._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rows_of_one_query_share_its_list(spark):
     queries, items = unit(6, 8, 3), unit(40, 8, 4)
     twice = frame(spark, queries, "query_id")
