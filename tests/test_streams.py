@@ -2,14 +2,16 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from kindred.config import Limits
 from kindred.operators import dense, streams
+from kindred.operators.ann import CellIndex, ivf_topk
 from kindred.operators.bounded import bounded_topk
 from kindred.operators.bounds import Asked, block_topk
 from kindred.operators.dense import meet_in_cells
-from kindred.session import stored
+from kindred.session import scratch_path, stored
 
 from tests.test_dense import brute, frame, rows, unit
 
@@ -64,6 +66,22 @@ def test_a_cell_gives_a_query_k_hits_however_many_items_it_holds(spark):
             assert {h["candidate_id"] for h in hits if h["query_id"] == f"p{q:04d}" and int(h["candidate_id"][1:]) % 2 == cell} == {f"p{j:04d}" for j in mine}
 
 
+def test_items_of_cells_are_not_repeated_for_many_slices(spark, monkeypatch):
+    queries, items = unit(120, 16, 8), unit(500, 16, 9)
+    items[100:400] = items[:100].repeat(3, axis=0)
+    index = CellIndex.around(frame(spark, items, "candidate_id"), scratch_path(spark, "cells"), items[:6].astype(float))
+    asked = stored(frame(spark, queries, "query_id"), "asked")
+    odd = asked.unionByName(asked.limit(3)).unionByName(asked.limit(2).selectExpr("cast(null as string) as query_id", "vector"))
+    met = rows(ivf_topk(asked, index, 4, 3))
+    named = "coalesce(query_id, 'none') as query_id", "candidate_id", "score", "rank"
+    met_odd = rows(ivf_topk(odd, index, 4, 2).selectExpr(*named))
+    monkeypatch.setattr(dense, "streamed_topk", lambda *a, **b: pytest.fail("items are repeated"))
+    many = Limits(list_bytes=4_000)
+    assert rows(ivf_topk(asked, index, 4, 3, limits=many)) == met
+    assert rows(ivf_topk(odd, index, 4, 2, limits=many).selectExpr(*named)) == met_odd
+    assert rows(ivf_topk(asked, index, 4, 6, limits=many)) == sorted(brute(queries, items, 4))
+
+
 def test_products_in_single_precision_drop_no_hit():
     rng = np.random.default_rng(7)
     for scale in (1.0, 1e-3, 1e4):
